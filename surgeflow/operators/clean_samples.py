@@ -71,7 +71,8 @@ def prepare(raw: DataFrame, cfg: CleanSamplesConfig = CleanSamplesConfig()) -> D
             .when(F.coalesce(units_h != LIQUID_UNIT, F.lit(True)), F.lit("03_units_copies_per_L"))
             .when(~F.coalesce(F.col(c.matrix).isin(*cfg.keep_matrices), F.lit(False)),
                   F.lit("04_matrix_filter")))
-    ordinal = F.struct(*[F.col(o) for o in c.ordinal]).alias("__ord")
+    ordinal = (F.col(c.ordinal[0]) if len(c.ordinal) == 1
+               else F.struct(*[F.col(o) for o in c.ordinal])).alias("__ord")
     return raw.select(
         ordinal,
         F.col(c.record_id).alias("record_id"),
