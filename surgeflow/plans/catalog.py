@@ -321,3 +321,8 @@ def q_matrix(spark, sf_dir):
 def q_targets(spark, sf_dir):
     _, tg = era_matrix(spark, sf_dir)
     return finish(tg)
+
+
+# further registrations (imported for their side effect on QUERIES / ORACLE)
+from . import catalog_eval  # noqa: E402,F401
+from . import catalog_stats  # noqa: E402,F401
