@@ -326,3 +326,4 @@ def q_targets(spark, sf_dir):
 # further registrations (imported for their side effect on QUERIES / ORACLE)
 from . import catalog_eval  # noqa: E402,F401
 from . import catalog_stats  # noqa: E402,F401
+from . import catalog_models  # noqa: E402,F401
