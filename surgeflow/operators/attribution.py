@@ -33,7 +33,7 @@ def tree_table(gbt_model, path: str, spark) -> list:
     nodes = spark.read.parquet(os.path.join(path, "data")).select(
         "treeID", "nodeData.id", "nodeData.prediction", "nodeData.rawCount",
         "nodeData.leftChild", "nodeData.rightChild", "nodeData.split.featureIndex",
-        F.col("nodeData.split.leftCategoriesOrThreshold")[0].alias("thr")).collect()
+        F.get(F.col("nodeData.split.leftCategoriesOrThreshold"), 0).alias("thr")).collect()
     weights = list(gbt_model.treeWeights)
     by_tree: dict = {}
     for r in nodes:

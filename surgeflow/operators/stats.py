@@ -17,19 +17,25 @@ from .quantiles import group_quantiles
 
 
 def corr_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Pairwise-complete Pearson matrix in long form (col_a, col_b, r), one aggregate."""
-    S_cols = list(columns)
-    d = df.select(*[S.nan_to_null(F.col(c).cast("double")).alias(c) for c in S_cols])
-    pairs = [(a, b) for i, a in enumerate(S_cols) for b in S_cols[i:]]
-    one = d.agg(*[S.safe_corr(a, b).alias(f"{i}") for i, (a, b) in enumerate(pairs)])
-    rows = []
-    for i, (a, b) in enumerate(pairs):
-        rows.append(F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"),
-                             F.col(f"{i}").alias("r")))
-        if a != b:
-            rows.append(F.struct(F.lit(b).alias("col_a"), F.lit(a).alias("col_b"),
-                                 F.col(f"{i}").alias("r")))
-    return one.select(F.inline(F.array(*rows)))
+    """Pairwise-complete Pearson matrix in long form (col_a, col_b, r).
+
+    Each row is expanded to one (pair, x, y) record per column pair and a single
+    ``groupBy(pair)`` computes the co-moments: four small aggregates instead of a
+    several-hundred-column aggregate that defeats code generation.
+    """
+    cols = list(columns)
+    d = df.select(*[S.nan_to_null(F.col(c).cast("double")).alias(c) for c in cols])
+    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
+    recs = F.array(*[F.struct(F.lit(i).alias("p"), F.col(a).alias("x"), F.col(b).alias("y"))
+                     for i, (a, b) in enumerate(pairs)])
+    long = d.select(F.inline(recs))
+    g = long.groupBy("p").agg(S.safe_corr("x", "y").alias("r"))
+    names = df.sparkSession.createDataFrame(
+        [(i, a, b) for i, (a, b) in enumerate(pairs)], "p int, col_a string, col_b string")
+    j = g.join(F.broadcast(names), "p")            # fixed-size pair table
+    mirror = j.where(F.col("col_a") != F.col("col_b")).select(
+        F.col("col_b").alias("col_a"), F.col("col_a").alias("col_b"), "r")
+    return j.select("col_a", "col_b", "r").unionByName(mirror)
 
 
 def long_pairs(df: DataFrame, predictors: Sequence[str], target: str) -> DataFrame:

@@ -17,6 +17,7 @@ from ..operators import clean_labels as CL
 from ..operators import clean_samples as CS
 from ..operators import matrix as MX
 from ..operators import panel as P
+from ..session import cut_lineage
 from ..sources import fixtures as fx
 
 _CACHE: dict = {}
@@ -41,7 +42,11 @@ def samples(spark: SparkSession, sf_dir: str, min_sites: int = 2) -> CS.SampleSt
     k = _key(spark, "samples", sf_dir, min_sites)
     if k not in _CACHE:
         cfg = replace(DRIVER_SAMPLES, min_sites=min_sites)
-        _CACHE[k] = CS.clean_samples(fx.samples_raw(spark, sf_dir), cfg)
+        st = CS.clean_samples(fx.samples_raw(spark, sf_dir), cfg)
+        # stage hand-over: the aggregated weekly table is small; write it once
+        st.weekly_all = cut_lineage(st.weekly_all)
+        st.weekly = st.weekly_all.where(F.col("n_sites") >= min_sites)
+        _CACHE[k] = st
     return _CACHE[k]
 
 
@@ -51,11 +56,11 @@ def panel(spark: SparkSession, sf_dir: str, min_sites: int = 2,
     if k not in _CACHE:
         st = samples(spark, sf_dir, min_sites)
         hraw = fx.hospital_raw(spark, sf_dir)
-        labels = CL.clean_labels(hraw, lcfg)
+        labels = cut_lineage(CL.clean_labels(hraw, lcfg))
         joined = P.join_state_week(st.weekly, labels, pcfg)
-        feats = P.build_features(joined, pcfg)
+        feats = cut_lineage(P.build_features(joined, pcfg))
         ready = P.model_ready(feats)
-        era = P.era_split(ready, pcfg)
+        era = cut_lineage(P.era_split(ready, pcfg))
         _CACHE[k] = Panel(st, hraw, labels, joined, feats, ready, era)
     return _CACHE[k]
 
