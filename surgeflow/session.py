@@ -63,3 +63,18 @@ def cut_lineage(df, eager: bool = True):
 
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
+
+
+BROADCAST_MAX_ROWS = 1_000_000
+
+
+def broadcast_if_small(df, max_rows: int = BROADCAST_MAX_ROWS):
+    """Broadcast a dimension side only behind a checked size bound.
+
+    ``limit(max_rows + 1).count()`` stops after ``max_rows + 1`` rows, so the check
+    itself is bounded; above the bound the side is left to a shuffle join (AQE may
+    still convert it at run time under ``spark.sql.autoBroadcastJoinThreshold``).
+    """
+    from pyspark.sql import functions as F
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
