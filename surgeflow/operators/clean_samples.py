@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -163,11 +164,18 @@ def weekly_state(scored: DataFrame, exact: bool = True) -> DataFrame:
 def clean_samples(raw: DataFrame, cfg: CleanSamplesConfig = CleanSamplesConfig()) -> SampleStages:
     prepared = prepare(raw, cfg)
     kept = prepared.where(F.col("__fail").isNull()).drop("__fail")
+    if cfg.checkpoint:
+        # read twice (global LOD median, then de-dup): one scan of the raw input
+        kept = kept.persist(StorageLevel.MEMORY_AND_DISK)
     med_lod = group_quantiles(kept, [], "lod_sewage", [0.5], ["med_lod"], exact=cfg.exact)
     filtered = substitute_nondetects(kept, med_lod)
     # the de-duplicated rows feed the site statistics, the weekly table and the
     # audit: write them once to the shared checkpoint folder (cuts lineage)
-    deduped = cut_lineage(dedupe_first(filtered)) if cfg.checkpoint else dedupe_first(filtered)
+    if cfg.checkpoint:
+        deduped = cut_lineage(dedupe_first(filtered))
+        kept.unpersist()
+    else:
+        deduped = dedupe_first(filtered)
     scored = site_scores(deduped, exact=cfg.exact)
     weekly_all = weekly_state(scored, exact=cfg.exact)
     weekly = weekly_all.where(F.col("n_sites") >= cfg.min_sites)
