@@ -35,7 +35,8 @@ class Panel:
 
 
 def _key(spark: SparkSession, *parts):
-    return (id(spark),) + parts
+    # a stage built in one application must never be reused by another session
+    return (spark.sparkContext.applicationId, id(spark)) + parts
 
 
 def samples(spark: SparkSession, sf_dir: str, min_sites: int = 2) -> CS.SampleStages:
