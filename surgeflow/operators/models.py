@@ -103,7 +103,7 @@ def gbt_inputs(cols) -> list:
 
 
 def fit_all(train: DataFrame, cols: Sequence[str], rf_trees: int = 200, rf_depth: int = 12,
-            gbt_iter: int = 200, seed: int = 42) -> FittedModels:
+            gbt_iter: int = 200, seed: int = 42, only_lr: bool = False) -> FittedModels:
     cols = list(cols)
     train = train.where(F.col(LABEL).isNotNull()).withColumn("label", F.col(LABEL).cast("double"))
     med = impute_median(train, cols)
@@ -125,6 +125,8 @@ def fit_all(train: DataFrame, cols: Sequence[str], rf_trees: int = 200, rf_depth
                            regParam=1.0 / n, elasticNetParam=0.0, standardization=False,
                            predictionCol="lr_pred", probabilityCol="lr_prob",
                            rawPredictionCol="lr_raw")]).fit(prepared)
+    if only_lr:
+        return FittedModels(cols, med, stats, w, majority, lr, None, None)
     rf = Pipeline(stages=[
         VectorAssembler(inputCols=[f"i_{c}" for c in cols], outputCol="v_rf"),
         RandomForestClassifier(featuresCol="v_rf", labelCol="label", weightCol="w",
@@ -143,15 +145,18 @@ MODEL_NAMES = {"lr": "Logistic Regression", "rf": "Random Forest", "gbt": "XGBoo
 
 
 def score_batch(fm: FittedModels, df: DataFrame) -> DataFrame:
-    """All models chained on one DataFrame: class + probability per model, wide."""
+    """All fitted models chained on one DataFrame: class + probability per model, wide."""
     cols = fm.features
     x = apply_scale(sentinel_columns(apply_impute(df, fm.med, cols), cols), fm.scale, cols)
-    x = fm.gbt.transform(fm.rf.transform(fm.lr.transform(x)))
+    keys = [k for k in MODEL_NAMES if getattr(fm, k) is not None]
+    for k in keys:
+        x = getattr(fm, k).transform(x)
+    margin = [vector_to_array(F.col("gbt_raw"))[1].alias("gbt_margin")] if fm.gbt is not None else []
     out = x.select("state_territory", "week_end",
                    F.col(LABEL).cast("int").alias("actual"),
-                   *[F.col(f"{k}_pred").cast("int").alias(f"{k}_pred") for k in MODEL_NAMES],
-                   *[vector_to_array(F.col(f"{k}_prob"))[1].alias(f"{k}_proba") for k in MODEL_NAMES],
-                   vector_to_array(F.col("gbt_raw"))[1].alias("gbt_margin"))
+                   *[F.col(f"{k}_pred").cast("int").alias(f"{k}_pred") for k in keys],
+                   *[vector_to_array(F.col(f"{k}_prob"))[1].alias(f"{k}_proba") for k in keys],
+                   *margin)
     return out.withColumns({"majority_pred": F.lit(fm.majority).cast("int"),
                             "majority_proba": F.lit(float(fm.majority))})
 
@@ -160,6 +165,8 @@ def long_predictions(wide: DataFrame) -> DataFrame:
     """(model, state, week, label, prediction, score) for the metric report."""
     parts = []
     for k, name in list(MODEL_NAMES.items()) + [("majority", "Majority-class baseline")]:
+        if f"{k}_pred" not in wide.columns:
+            continue
         parts.append(wide.select(F.lit(name).alias("model"), "state_territory", "week_end",
                                  F.col("actual").alias("label"), F.col(f"{k}_pred").alias("prediction"),
                                  F.col(f"{k}_proba").alias("score")))

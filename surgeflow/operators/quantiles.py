@@ -34,7 +34,7 @@ BROADCAST_ROWS = 1 << 20
 
 def group_quantiles(df: DataFrame, keys: Sequence[str], value: str,
                     probs: Sequence[float], names: Sequence[str],
-                    direct_max: int = DIRECT_MAX, buckets: int = BUCKETS,
+                    direct_max: int | None = None, buckets: int = BUCKETS,
                     exact: bool = True, accuracy: int = 10000) -> DataFrame:
     """Return ``keys + names``: the ``probs`` quantiles of ``value`` per group.
 
@@ -42,6 +42,7 @@ def group_quantiles(df: DataFrame, keys: Sequence[str], value: str,
     ``exact=False`` uses the mergeable ``percentile_approx`` sketch instead.
     """
     keys = list(keys)
+    direct_max = DIRECT_MAX if direct_max is None else direct_max
     v = df.select(*keys, F.nanvl(F.col(value).cast("double"), F.lit(None)).alias("__v")) \
         .where(F.col("__v").isNotNull())
     if not exact:

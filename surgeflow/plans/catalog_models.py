@@ -142,7 +142,8 @@ def q_reproduce(spark, sf_dir):
 
 @register("sp_cross_val_scores")
 def q_cv(spark, sf_dir):
-    """Rolling-origin evaluation of the logistic model: mean and sd of AUC / F1 over folds."""
+    """Rolling-origin evaluation (logistic model and majority baseline): mean and sd of
+    AUC / F1 over the folds that have a test slice and two classes in training."""
     from ..config import PanelConfig
     feats, targets = era_matrix(spark, sf_dir)
     pcfg = PanelConfig()
@@ -156,7 +157,7 @@ def q_cv(spark, sf_dir):
         te = base.where((wk >= F.lit(tr_end).cast("date")) & (wk < F.lit(te_end).cast("date")))
         if te.isEmpty() or tr.select(ML.LABEL).distinct().count() < 2:
             continue
-        fm = ML.fit_all(tr, FEATS, rf_trees=10, rf_depth=5, gbt_iter=10)
+        fm = ML.fit_all(tr, FEATS, only_lr=True)
         rep = M.report(ML.long_predictions(ML.score_batch(fm, te))).withColumn("fold", F.lit(i))
         rows = rep if rows is None else rows.unionByName(rep)
     if rows is None:

@@ -28,3 +28,33 @@ def test_global_quantile_selection_path(spark):
     df = spark.createDataFrame([(v,) for v in vals], "v double")
     r = group_quantiles(df, [], "v", [0.5, 0.25], ["m", "q"], direct_max=100, buckets=8).first()
     assert r["m"] == np.percentile(vals, 50) and r["q"] == np.percentile(vals, 25)
+
+
+def test_sample_stage_same_with_forced_selection(spark, monkeypatch):
+    """Every median of the sample stage through the hot-group path gives the same table."""
+    from conftest import SF0001
+    from surgeflow.config import DRIVER_SAMPLES
+    from surgeflow.operators import clean_samples as CS
+    from surgeflow.operators import quantiles as Q
+    from surgeflow.sources import fixtures as fx
+
+    def table():
+        st = CS.clean_samples(fx.samples_raw(spark, SF0001), DRIVER_SAMPLES)
+        return sorted((r["state_territory"], str(r["week_end"]), round(r["log10_conc_median"], 9),
+                       round(r["conc_site_z_mean"], 9)) for r in st.weekly_all.collect())
+
+    base = table()
+    monkeypatch.setattr(Q, "DIRECT_MAX", 8)
+    monkeypatch.setattr(Q, "BUCKETS", 4)
+    assert table() == base
+
+
+def test_broadcast_if_small(spark):
+    from surgeflow.session import broadcast_if_small
+    small = spark.range(10)
+    big = spark.range(50)
+    j1 = spark.range(100).join(broadcast_if_small(small, max_rows=20), "id")
+    j2 = spark.range(100).join(broadcast_if_small(big, max_rows=20), "id")
+    p1 = j1._jdf.queryExecution().optimizedPlan().toString()
+    p2 = j2._jdf.queryExecution().optimizedPlan().toString()
+    assert "broadcast" in p1.lower() and "broadcast" not in p2.lower()
