@@ -20,7 +20,6 @@ import os
 from typing import Sequence
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -161,7 +160,3 @@ def linear_contributions(df: DataFrame, coef: Sequence[float], cols: Sequence[st
     return df.select("state_territory", "week_end", *[
         (F.lit(float(b)) * (F.col(c) - F.lit(float(means.get(c, 0.0))))).alias(f"phi_{c}")
         for b, c in zip(coef, cols)])
-
-
-def pd_frame(rows) -> pd.DataFrame:
-    return pd.DataFrame(rows)

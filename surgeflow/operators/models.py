@@ -26,13 +26,6 @@ LABEL = "y_surge_next_week"
 SENTINEL = -1.0e9
 
 
-@dataclass
-class Prepared:
-    train: DataFrame
-    test: DataFrame
-    features: list
-
-
 def join_features_targets(features: DataFrame, targets: DataFrame, how: str = "inner",
                           keys=("state_territory", "week_end")) -> DataFrame:
     return features.join(targets, list(keys), how)

@@ -12,7 +12,6 @@ from ..config import MODEL_FEATURES, TOP4_DEPENDENCE
 from ..operators import attribution as XP
 from ..operators import metrics as M
 from ..operators import models as ML
-from ..operators import panel as P
 from ..operators.quantiles import group_quantiles
 from ..operators.score import latest_features, score_latest
 from . import oracle_sql as O
@@ -145,7 +144,6 @@ def q_cv(spark, sf_dir):
     """Rolling-origin evaluation (logistic model and majority baseline): mean and sd of
     AUC / F1 over the folds that have a test slice and two classes in training."""
     from ..config import PanelConfig
-    feats, targets = era_matrix(spark, sf_dir)
     pcfg = PanelConfig()
     mr = panel(spark, sf_dir).ready
     from ..operators.matrix import add_temporal_geo

@@ -5,15 +5,12 @@ helpers that inspect column names run at plan time and never touch rows.
 """
 from __future__ import annotations
 
-import os
 from typing import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..functions.semantics import NULL_WORDS
-
 
 def read_csv_projected(spark: SparkSession, path: str, columns: Sequence[str],
                        schema: StructType | str | None = None,
@@ -108,11 +105,3 @@ def profile_shape(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n_rows")).select(
         "n_rows", F.lit(len(df.columns)).cast("long").alias("n_cols"),
         F.lit(",".join(df.columns)).alias("columns"))
-
-
-def null_words_option() -> str:
-    return ",".join(NULL_WORDS)
-
-
-def exists(path: str) -> bool:
-    return os.path.exists(path)
