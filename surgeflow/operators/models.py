@@ -95,20 +95,42 @@ def gbt_inputs(cols) -> list:
     return [f"g_{c}" for c in cols] + [f"m_{c}" for c in cols]
 
 
-def fit_all(train: DataFrame, cols: Sequence[str], rf_trees: int = 200, rf_depth: int = 12,
-            gbt_iter: int = 200, seed: int = 42, only_lr: bool = False) -> FittedModels:
+@dataclass
+class Preprocessing:
+    med: DataFrame       # one row: train medians
+    scale: DataFrame     # one row: mean / population std of the imputed train columns
+    weights: DataFrame   # balanced class weights (<= 2 rows)
+    majority: int
+    n: int
+
+
+def fit_preprocessing(train: DataFrame, cols: Sequence[str]) -> Preprocessing:
+    """Train-fitted imputation, standardisation and class weights (small aggregates)."""
     cols = list(cols)
-    train = train.where(F.col(LABEL).isNotNull()).withColumn("label", F.col(LABEL).cast("double"))
     med = impute_median(train, cols)
     imp = apply_impute(train, med, cols)
     stats = standardize_stats(imp, [f"i_{c}" for c in cols]).select(
         *[F.col(f"__mu_i_{c}").alias(f"__mu_{c}") for c in cols],
         *[F.col(f"__sd_i_{c}").alias(f"__sd_{c}") for c in cols])
     w = class_weights(train, "label")
-    n_row = train.agg(F.count(F.lit(1)).alias("n")).first()     # scalar
-    n = max(int(n_row["n"]), 1)
-    counts = {r["label"]: r["w"] for r in w.collect()}           # at most two rows
+    rows = w.collect()                                             # at most two rows
+    counts = {r["label"]: r["w"] for r in rows}
     majority = int(min(counts, key=lambda k: (counts[k], k))) if counts else 0
+    n = max(int(train.agg(F.count(F.lit(1)).alias("n")).first()["n"]), 1)   # scalar
+    return Preprocessing(med, stats, w, majority, n)
+
+
+def labelled(train: DataFrame) -> DataFrame:
+    return train.where(F.col(LABEL).isNotNull()).withColumn("label", F.col(LABEL).cast("double"))
+
+
+def fit_all(train: DataFrame, cols: Sequence[str], rf_trees: int = 200, rf_depth: int = 12,
+            gbt_iter: int = 200, seed: int = 42, only_lr: bool = False) -> FittedModels:
+    cols = list(cols)
+    train = labelled(train)
+    pp = fit_preprocessing(train, cols)
+    med, stats, w, majority, n = pp.med, pp.scale, pp.weights, pp.majority, pp.n
+    imp = apply_impute(train, med, cols)
     prepared = apply_scale(sentinel_columns(imp, cols), stats, cols).join(F.broadcast(w), "label")
     # iterative learners re-read their input many times: cut the lineage once
     prepared = cut_lineage(prepared)

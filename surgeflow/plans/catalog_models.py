@@ -71,8 +71,8 @@ def q_impute(spark, sf_dir):
     + R("stddev_pop(COALESCE(l.v, m.med, 0.0))", "std")
     + " FROM t_long l LEFT JOIN t_med m ON l.feature = m.feature GROUP BY l.feature"))
 def q_standardize(spark, sf_dir):
-    fm = fitted(spark, sf_dir)
-    s = fm.scale
+    tr, _ = train_test(spark, sf_dir)
+    s = ML.fit_preprocessing(ML.labelled(tr), FEATS).scale
     rows = [F.struct(F.lit(c).alias("feature"), F.col(f"__mu_{c}").alias("mean"),
                      F.col(f"__sd_{c}").alias("std")) for c in FEATS]
     return finish(s.select(F.inline(F.array(*rows))))
