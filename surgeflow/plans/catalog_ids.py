@@ -136,3 +136,67 @@ def q_corr_target(spark, sf_dir):
     w = Window.orderBy(F.col("r").desc_nulls_last(), "col_a")     # <= 10 rows
     return finish(m.select(F.col("col_a").alias("feature"), "r",
                            F.row_number().over(w).cast("int").alias("rank")))
+
+
+# ------------------------------------------------------------------ edge I/O round trips
+# Each writes a table derived from the given data to the shared checkpoint folder and
+# reads it back through the edge reader under test.
+
+def _export_dir(spark, name: str) -> str:
+    import os
+    import uuid
+    from ..session import ensure_checkpoint_dir
+    return os.path.join(ensure_checkpoint_dir(spark), "exports", f"{name}-{uuid.uuid4().hex}")
+
+
+QUERIES["sc_prefix_test"] = QUERIES["fl_drop_rollups"]
+ORACLE["sc_prefix_test"] = ORACLE["fl_drop_rollups"]
+
+
+@register("io_write_table", O.sql(
+    "SELECT state_territory, week_end, " + R("admits", "admits") + ", " + R("coverage", "coverage")
+    + ", regime FROM h_labels"))
+def q_write(spark, sf_dir):
+    from ..sources import io as IO
+    from .stages import panel
+    path = _export_dir(spark, "labels")
+    IO.write_table(panel(spark, sf_dir).labels, path, partition_by=("regime",))
+    return finish(spark.read.parquet(path).select("state_territory", "week_end", "admits",
+                                                  "coverage", "regime"))
+
+
+@register("io_read_csv_dates", O.sql(
+    "SELECT state_territory, week_end, n_samples, n_sites FROM s_weekly"))
+def q_csv_dates(spark, sf_dir):
+    from ..sources import io as IO
+    path = _export_dir(spark, "weekly")
+    IO.write_table(samples(spark, sf_dir).weekly.select("state_territory", "week_end", "n_samples",
+                                                       "n_sites"), path, fmt="csv")
+    back = IO.read_csv_dates(spark, path, ["week_end"])
+    return back.select("state_territory", "week_end", F.col("n_samples").cast("long"),
+                       F.col("n_sites").cast("long"))
+
+
+@register("io_read_csv_projected", O.sql(
+    "SELECT jurisdiction, CAST(strftime(wk, '%Y-%m-%d') AS VARCHAR) AS weekendingdate, "
+    + R("admits", "totalconfc19newadm") + " FROM h_raw"))
+def q_csv_projected(spark, sf_dir):
+    from ..sources import io as IO
+    path = _export_dir(spark, "hospital")
+    IO.write_table(fx.hospital_raw(spark, sf_dir), path, fmt="csv")
+    cols = ["jurisdiction", "weekendingdate", "totalconfc19newadm"]
+    back = IO.read_csv_projected(spark, path, cols, schema=", ".join(
+        f"{c} string" for c in cols + ["totalconfc19newadmperchosprep"]))
+    return finish(back.select("jurisdiction", "weekendingdate",
+                              coerce_double("totalconfc19newadm", dtype_of(back, "totalconfc19newadm"))
+                              .alias("totalconfc19newadm")))
+
+
+@register("io_read_csv_latin1", O.sql(
+    "SELECT FIPS, State, Attribute, Value FROM k_rucc_all"))
+def q_csv_latin1(spark, sf_dir):
+    from ..sources import io as IO
+    path = _export_dir(spark, "rucc")
+    r = fx.rucc_long(spark, sf_dir).where(F.col("Attribute") == "RUCC_2023")
+    r.write.mode("overwrite").option("header", True).option("encoding", "ISO-8859-1").csv(path)
+    return IO.read_csv_latin1(spark, path).select("FIPS", "State", "Attribute", "Value")
