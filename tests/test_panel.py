@@ -78,3 +78,17 @@ def test_folds_and_cut(spark):
     era = P.era_split(mr, cfg)
     n_train = era.where("split_era = 'train'").count()
     assert n_train == 6                                    # 75 % quantile of 8 weeks
+
+
+def test_calendar_lags_and_inner_join(spark):
+    ww, lab, wk = _panel(spark)
+    rows = {r["week_end"]: r for r in P.build_features(
+        P.join_state_week(ww, lab), PanelConfig(calendar_lags=True)).collect()}
+    assert rows[wk[4]]["log10_conc_lag1"] is None          # 14 days after the previous week
+    assert rows[wk[4]]["log10_conc_lag2"] == 4.0
+    inner = P.join_state_week(ww, lab, PanelConfig(how="inner"))
+    assert inner.count() == 4                               # the week without a label drops out
+    pop = P.build_features(P.join_state_week(ww.withColumn("pop_served", ww.log10_conc_mean * 0 + 2e5),
+                                              lab), PanelConfig(per_capita_mode="population"))
+    r = {x["week_end"]: x for x in pop.collect()}
+    assert r[wk[1]]["admits_per100k"] == 5.0
