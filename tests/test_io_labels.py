@@ -55,3 +55,18 @@ def test_missing_coverage_raises(spark):
                                "jurisdiction string, weekendingdate string, totalconfc19newadm string")
     with pytest.raises(KeyError):
         CL.clean_labels(df)
+
+
+def test_feature_list_and_metrics_round_trip(spark):
+    from surgeflow.config import MODEL_FEATURES
+    from surgeflow.functions.semantics import numeric_columns
+    from surgeflow.session import ensure_checkpoint_dir
+    root = ensure_checkpoint_dir(spark)
+    io.save_feature_list(spark, MODEL_FEATURES, f"{root}/test-features")
+    assert io.load_feature_list(spark, f"{root}/test-features") == list(MODEL_FEATURES)
+    m = spark.createDataFrame([("XGBoost", 0.5, 3)], "model string, f1 double, tp long")
+    io.save_metrics(m, f"{root}/test-metrics")
+    back = spark.read.json(f"{root}/test-metrics").first()
+    assert back["model"] == "XGBoost" and back["tp"] == 3
+    df = spark.createDataFrame([(1, True, "a", 2.0)], "i int, b boolean, s string, d double")
+    assert numeric_columns(df) == ["i", "d"]                # booleans are not numbers
