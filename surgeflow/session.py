@@ -23,7 +23,7 @@ _LOCAL_DEFAULTS = {
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
-                  driver_memory: str = "8g", app: str = "surgeflow") -> SparkSession:
+                  driver_memory: str = "4g", app: str = "surgeflow") -> SparkSession:
     """A local session for tests and the bench (never used on a cluster)."""
     b = (SparkSession.builder.master(f"local[{cores}]").appName(app)
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
