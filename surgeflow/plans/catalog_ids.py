@@ -67,15 +67,16 @@ def q_text_norm(spark, sf_dir):
 
 @register("sc_unlog10", O.sql(
     "SELECT gene AS pcr_gene_target_agg, CAST(count(*) FILTER (WHERE is_log) AS BIGINT) AS log_rows, "
-    + R("sum(conc)", "linear_conc_sum") + " FROM s_typed GROUP BY gene"))
+    + R("sum(conc)", "linear_conc_sum", 2) + " FROM s_typed GROUP BY gene"))
 def q_unlog(spark, sf_dir):
     from ..config import LOG_UNIT_PREFIX
     from ..functions.semantics import prefix_test, unlog10
     r = fx.samples_raw(spark, sf_dir)
     is_log = prefix_test(text_norm("pcr_target_units"), LOG_UNIT_PREFIX)
+    # a large-magnitude sum: 2 decimals keep the cross-engine comparison stable
     return finish(r.groupBy("pcr_gene_target_agg").agg(
         F.count_if(is_log).alias("log_rows"),
-        F.sum(unlog10("pcr_target_avg_conc", is_log)).alias("linear_conc_sum")))
+        F.sum(unlog10("pcr_target_avg_conc", is_log)).alias("linear_conc_sum")), digits=2)
 
 
 O.CTE["k_rucc_all"] = """
