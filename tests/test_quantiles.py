@@ -58,3 +58,9 @@ def test_broadcast_if_small(spark):
     p1 = j1._jdf.queryExecution().optimizedPlan().toString()
     p2 = j2._jdf.queryExecution().optimizedPlan().toString()
     assert "broadcast" in p1.lower() and "broadcast" not in p2.lower()
+
+
+def test_sketch_switch(spark):
+    df = spark.createDataFrame([(float(i),) for i in range(1001)], "v double")
+    r = group_quantiles(df, [], "v", [0.5], ["m"], exact=False).first()
+    assert abs(r["m"] - 500.0) <= 1.0
