@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import cuckoo, decontam, line_runs, token_counts, toxicity
+from . import cuckoo, decontam, line_runs, packing, token_counts, toxicity
 from .common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -90,3 +90,8 @@ FROM d LEFT JOIN h USING (doc_id) LEFT JOIN t USING (doc_id)"""
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = toxicity.toxicity_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
     return scored.select("doc_id", "held_out", "score", "predicted")
+
+
+@register
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read_table(spark, sf_dir, "documents"))

@@ -29,11 +29,12 @@ from .common import as_bytes, gram_hashes, stage, word_hashes
 class Settings:
     word_bits: int = 20
     pair_bits: int = 22
-    alpha: float = 0.3
+    pair_value: float = 0.2
+    alpha: float = 2.0
     beta: float = 1.0
-    l1: float = 1.0
-    l2: float = 1.0
-    epochs: int = 3
+    l1: float = 1.5
+    l2: float = 0.0
+    epochs: int = 4
     shards: int = 4
     max_rows: int = 20_000
 
@@ -51,6 +52,11 @@ def feature_indices(text: bytes, s: Settings) -> np.ndarray:
                            (pairs >> np.uint64(64 - s.pair_bits)) + np.uint64(1 << s.word_bits))).astype(np.int64)
 
 
+def values_of(at: np.ndarray, s: Settings) -> np.ndarray:
+    """Feature values: 1 for words and the bias, ``pair_value`` for pairs."""
+    return np.where((at < 1 << s.word_bits) | (at == s.size - 1), 1.0, s.pair_value)
+
+
 def weights_of(z: np.ndarray, n: np.ndarray, s: Settings) -> np.ndarray:
     """FTRL-proximal closed form; the last coordinate (bias) has no L1."""
     l1 = np.full(len(z), s.l1)
@@ -63,10 +69,10 @@ def ftrl_pass(examples: list[tuple[np.ndarray, float]], z: np.ndarray, n: np.nda
     bias = s.size - 1
     for index, label in examples:
         at = np.append(index, bias)
-        zs, ns = z[at], n[at]
+        zs, ns, x = z[at], n[at], values_of(at, s)
         w = weights_of(zs, ns, s)
         w[-1] = -zs[-1] / ((s.beta + np.sqrt(ns[-1])) / s.alpha + s.l2)
-        g = 1.0 / (1.0 + np.exp(-np.clip(w.sum(), -35, 35))) - label
+        g = (1.0 / (1.0 + np.exp(-np.clip(w @ x, -35, 35))) - label) * x
         rate = (np.sqrt(ns + g * g) - np.sqrt(ns)) / s.alpha
         z[at] += g - rate * w
         n[at] += g * g
@@ -95,7 +101,7 @@ def training_sample(docs: DataFrame, labels: DataFrame, s: Settings) -> DataFram
 
 
 def train(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> tuple[np.ndarray, np.ndarray, float]:
-    """(coordinates, weights, bias) of the non-zero weights."""
+    """(coordinates, weights times feature values, bias) of the non-zero weights."""
     sample = training_sample(docs, labels, s)
     rows, positives = sample.agg(F.count(F.lit(1)), F.sum("label")).first()
     if not rows or not positives or positives == rows:
@@ -117,9 +123,9 @@ def train(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> tuple
             index = np.flatnonzero(n)
             return pd.DataFrame({"at": index, "z": z[index], "n": n[index]})
 
-        # at most one row per coordinate and shard; a shard without the coordinate counts as zero
+        # at most one row per coordinate and shard; the mean of the shards that have the coordinate
         merged = (sample.groupBy("shard").applyInPandas(learn, "at long, z double, n double")
-                  .groupBy("at").agg((F.sum("z") / s.shards).alias("z"), (F.sum("n") / s.shards).alias("n"))
+                  .groupBy("at").agg(F.avg("z").alias("z"), F.avg("n").alias("n"))
                   # coordinates that L1 keeps at zero matter only while training goes on
                   .where((F.abs("z") > s.l1 / 4) | (F.col("at") == s.size - 1))
                   .toPandas())
@@ -128,7 +134,7 @@ def train(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> tuple
     w = weights_of(z, n, s)
     bias = -z[-1] / ((s.beta + np.sqrt(n[-1])) / s.alpha + s.l2)
     at = np.flatnonzero(w[:-1])
-    return at, w[at], float(bias)
+    return at, (w[at] * values_of(at, s)), float(bias)
 
 
 def score_column(model: tuple[np.ndarray, np.ndarray, float], text: Column, spark,
