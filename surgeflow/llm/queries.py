@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import cuckoo, decontam, line_runs, packing, token_counts, toxicity
+from . import cuckoo, decontam, line_runs, ngram_join, packing, token_counts, toxicity
 from .common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -95,3 +95,9 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"))
+
+
+@register
+def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = ngram_join.near_classes(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "class_id", "class_size", "copies", "n_links")
