@@ -21,6 +21,7 @@ gives an empty result; only ``doc_id`` and ``text`` are read.
 from __future__ import annotations
 
 import math
+from typing import Any
 
 import numpy as np
 import pandas as pd
@@ -167,7 +168,7 @@ def verified_links(sets: DataFrame, threshold: float, block: int) -> DataFrame:
     tasks = placed.withColumn("other", pair).select(
         "component", F.least("mine", "other").alias("x"), F.greatest("mine", "other").alias("y"), "mine", "row", "grams")
 
-    def verify(key, part: pd.DataFrame) -> pd.DataFrame:
+    def verify(key: tuple[Any, ...], part: pd.DataFrame) -> pd.DataFrame:
         _, x, y = key
         a = part[part["mine"] == x]
         b = a if x == y else part[part["mine"] == y]
@@ -190,7 +191,7 @@ def near_classes(docs: DataFrame, words: int = WORDS, threshold: float = THRESHO
                  target_recall: float = TARGET_RECALL, block: int = BLOCK) -> DataFrame:
     """One row per document: ``row``, ``doc_id``, ``class_row`` and ``class_id`` (row and id of
     the class's first document), ``class_size``, ``copies`` (documents with the same shingles,
-    itself included) and ``n_links`` (other texts at the threshold or above)."""
+    itself included), ``n_links`` (other texts at the threshold or above) and ``n_grams``."""
     bands, rows = bands_for(threshold, target_recall)
     if "row" not in docs.columns:
         docs = with_rows(docs, "near-docs")
@@ -227,5 +228,5 @@ def near_classes(docs: DataFrame, words: int = WORDS, threshold: float = THRESHO
              .join(signed.select(F.col("row").alias("class_row"), F.col("doc_id").alias("class_id")), "class_row"))
     # a class is no larger than its texts, so the heads join the classes of copies, not the documents
     known = per_copy.join(heads, "class_row")
-    return signed.select("row", "doc_id", "set_a", "set_b").join(known, ["set_a", "set_b"]).select(
-        "row", "doc_id", "class_row", "class_id", "class_size", "copies", "n_links")
+    return signed.select("row", "doc_id", "set_a", "set_b", "n_grams").join(known, ["set_a", "set_b"]).select(
+        "row", "doc_id", "class_row", "class_id", "class_size", "copies", "n_links", "n_grams")
