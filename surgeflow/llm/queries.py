@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import cuckoo, decontam, line_runs, ngram_join, packing, token_counts, toxicity
+from . import chat, cuckoo, decontam, line_runs, ngram_join, packing, token_counts, toxicity, warc
 from .common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -101,3 +101,30 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = ngram_join.near_classes(read_table(spark, sf_dir, "documents"))
     return found.select("doc_id", "class_id", "class_size", "copies", "n_links")
+
+
+@register
+def op1_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = warc.derivatives(warc.responses_from_pages(read_table(spark, sf_dir, "pages")), ("page_id",))
+    return made.select("page_id", "record_type", "record_id", "refers_to", "block_digest", "source_block_digest",
+                       "source_payload_digest", "n_bytes", F.sha2(warc.record_text(F.col("header"), F.col("block")), 256)
+                       .alias("record_sha256"))
+
+
+@register
+def op8_chat_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.collapse(read_table(spark, sf_dir, "conversations")).select(
+        "conv_id", "chunk", "n_turns", "first_turn", F.sha2("text", 256).alias("text_sha256"))
+
+
+ORACLE["op8_chat_snapshots"] = r"""
+WITH p AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS pos FROM conversations),
+c AS (SELECT conv_id, count(*) AS n, list([role, text] ORDER BY pos) AS all_turns FROM p GROUP BY conv_id),
+pre AS (SELECT DISTINCT k AS n, all_turns[1:k] AS turns FROM (SELECT n, all_turns, unnest(generate_series(1, n - 1)) AS k
+        FROM c)),
+m AS (SELECT min(conv_id) AS conv_id FROM c WHERE NOT EXISTS (SELECT 1 FROM pre WHERE pre.n = c.n
+      AND pre.turns = c.all_turns) GROUP BY all_turns)
+SELECT p.conv_id, (pos - 1) // 256 AS chunk, any_value(c.n) AS n_turns, min(pos) AS first_turn,
+       sha256(string_agg('<|' || coalesce(role, '') || '|>' || chr(10) || coalesce(text, '') || chr(10), '' ORDER BY pos))
+         AS text_sha256
+FROM p JOIN m USING (conv_id) JOIN c USING (conv_id) GROUP BY p.conv_id, (pos - 1) // 256"""
