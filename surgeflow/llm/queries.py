@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, cuckoo, decontam, line_runs, ngram_join, packing, token_counts, toxicity, warc
+from . import chat, cuckoo, decontam, line_runs, ngram_join, packing, suffix_index, token_counts, toxicity, warc
 from .common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -128,3 +128,8 @@ SELECT p.conv_id, (pos - 1) // 256 AS chunk, any_value(c.n) AS n_turns, min(pos)
        sha256(string_agg('<|' || coalesce(role, '') || '|>' || chr(10) || coalesce(text, '') || chr(10), '' ORDER BY pos))
          AS text_sha256
 FROM p JOIN m USING (conv_id) JOIN c USING (conv_id) GROUP BY p.conv_id, (pos - 1) // 256"""
+
+
+@register
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_index.remove_repeats(read_table(spark, sf_dir, "documents")).drop("kept")
