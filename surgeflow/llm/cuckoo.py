@@ -208,7 +208,7 @@ def exact_groups(docs: DataFrame, batches: int = BATCHES, buckets: int = BUCKETS
     for k in range(batches):
         groups = stage(rows.where(F.col("batch") == k).groupBy("digest").agg(
             F.min(best).alias("best"), F.count(F.lit(1)).alias("n")), "digest-groups")
-        marked = groups.join(index.insert(groups), "digest")
+        marked = stage(groups.join(index.insert(groups), "digest"), "digest-marked")
         first, again = (marked.where(c).select("digest", "best", "n") for c in (~F.col("held"), F.col("held")))
         entries = first if entries is None else entries.unionByName(first)
         updates = again if updates is None else updates.unionByName(again)

@@ -116,7 +116,7 @@ class SuffixIndexes:
             for run in level:
                 found = found.unionByName(batch.join(run, "suffix", "left_semi").select("suffix"))
         self._put(0, batch.select("suffix"))
-        return found
+        return stage(found, "suffix-found")
 
     def _put(self, level: int, run: DataFrame) -> None:
         if len(self.levels) <= level:
