@@ -186,11 +186,10 @@ class CuckooIndex:
         self.gone = self.gone.unionByName(out.withColumn("stamp", F.lit(self.stamp)))
 
 
-def document_digests(docs: DataFrame) -> DataFrame:
-    """(row, doc_id, points, digest, batch) of every row; texts are read once."""
+def document_digests(docs: DataFrame, row: str | None = None) -> DataFrame:
+    """(row, doc_id, points, digest) of every row; texts are read once."""
     text = F.coalesce("text", F.lit(""))
-    return docs.select(F.monotonically_increasing_id().alias("row") if "row" not in docs.columns else F.col("row"),
-                       "doc_id", F.char_length(text).alias("points"),
+    return docs.select((F.col(row) if row else F.monotonically_increasing_id()).alias("row"), "doc_id", F.char_length(text).alias("points"),
                        F.unhex(F.sha2(F.translate(text, BLANKS, ""), 256)).alias("digest"))
 
 
@@ -198,10 +197,12 @@ def _merged(groups: DataFrame) -> DataFrame:
     return groups.groupBy("digest").agg(F.min("best").alias("best"), F.sum("n").alias("n"))
 
 
-def exact_groups(docs: DataFrame, batches: int = BATCHES, buckets: int = BUCKETS) -> DataFrame:
-    """One row per document: ``row``, ``doc_id``, ``keep_row``, ``keep_id``, ``group_size``,
-    ``kept`` and the ``digest``, from batches inserted one after the other into the index."""
-    rows = stage(document_digests(docs).withColumn("batch", F.pmod(F.xxhash64("row"), F.lit(batches))), "digests")
+def exact_groups(docs: DataFrame, row: str | None = None, batches: int = BATCHES,
+                 buckets: int = BUCKETS) -> DataFrame:
+    """One row per document: ``row`` (from the column ``row`` names, or numbered here), ``doc_id``,
+    ``keep_row``, ``keep_id``, ``group_size``, ``kept`` and the ``digest``, from batches inserted
+    one after the other into the index."""
+    rows = stage(document_digests(docs, row).withColumn("batch", F.pmod(F.xxhash64("row"), F.lit(batches))), "digests")
     best = F.struct((-F.col("points")).alias("p"), F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")
     index = CuckooIndex(docs.sparkSession, buckets)
     entries, updates = None, None

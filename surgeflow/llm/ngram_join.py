@@ -187,14 +187,14 @@ def verified_links(sets: DataFrame, threshold: float, block: int) -> DataFrame:
     return tasks.groupBy("component", "x", "y").applyInPandas(verify, LINKS)
 
 
-def near_classes(docs: DataFrame, words: int = WORDS, threshold: float = THRESHOLD,
+def near_classes(docs: DataFrame, row: str | None = None, words: int = WORDS, threshold: float = THRESHOLD,
                  target_recall: float = TARGET_RECALL, block: int = BLOCK) -> DataFrame:
-    """One row per document: ``row``, ``doc_id``, ``class_row`` and ``class_id`` (row and id of
+    """One row per document: ``row`` (from the unique column ``row`` names, or numbered here),
+    ``doc_id``, ``class_row`` and ``class_id`` (row and id of
     the class's first document), ``class_size``, ``copies`` (documents with the same shingles,
     itself included), ``n_links`` (other texts at the threshold or above) and ``n_grams``."""
     bands, rows = bands_for(threshold, target_recall)
-    if "row" not in docs.columns:
-        docs = with_rows(docs, "near-docs")
+    docs = docs.select(F.col(row).alias("row"), "doc_id", "text") if row else with_rows(docs, "near-docs")
     signed = stage(signatures(docs, words, bands, rows), "signatures")
     copies = signed.groupBy("set_a", "set_b").agg(F.min("row").alias("rep"), F.count(F.lit(1)).alias("copies"))
     copies = stage(copies, "copies")
