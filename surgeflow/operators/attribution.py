@@ -1,7 +1,7 @@
 """Attribution of boosted-tree and linear predictions.
 
 ``tree_contributions`` computes exact path-dependent Shapley values of a Spark
-``GBTClassificationModel`` margin for every row, as a ``mapInPandas`` job: the
+``GBTClassificationModel``'s log-odds for every row, as a ``mapInPandas`` job: the
 tree table (bounded by trees x nodes, independent of the data volume) is read
 from the saved model and shipped with the task closure; rows stay distributed.
 
@@ -10,13 +10,16 @@ product game  g(S) = v * prod_{j in P} (j in S ? o_j(x) : z_j)  over the distinc
 features P on its path (o_j: x satisfies every split on j; z_j: product of cover
 ratios of those splits).  Its Shapley values are enumerated over the subsets of
 P (|P| <= depth), vectorised over the rows of a batch.  Summed over leaves and
-trees, sum(contributions) + base = margin.
+trees, sum(contributions) + base = margin.  The players j are reported features: input
+columns of one feature (a value and its missing indicator) enter or leave together.  The
+model's probability is 1 / (1 + exp(-2 raw)), so log-odds are ``LOG_ODDS`` times raw.
 """
 from __future__ import annotations
 
 import itertools
 import math
 import os
+import uuid
 from typing import Sequence
 
 import numpy as np
@@ -25,6 +28,9 @@ from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 
+#: Log-odds per unit of the boosted model's raw prediction.
+LOG_ODDS = 2.0
+
 
 def tree_table(gbt_model, path: str, spark) -> list:
     """Save the model under ``path`` and read back its node table as leaf paths."""
@@ -55,13 +61,16 @@ def tree_table(gbt_model, path: str, spark) -> list:
     return trees
 
 
-def _leaf_terms(leaves):
-    """Pre-compute per leaf: features, their conditions, z_j, and Shapley weights."""
+def _leaf_terms(leaves, player: Sequence[int]):
+    """Pre-compute per leaf: players, their conditions, z_j, and Shapley weights.
+
+    ``player[i]`` is the player that input column i belongs to.
+    """
     out = []
     for value, conds in leaves:
-        feats = sorted({c[0] for c in conds})
-        z = {j: float(np.prod([c[3] for c in conds if c[0] == j])) for j in feats}
-        cj = {j: [(c[1], c[2]) for c in conds if c[0] == j] for j in feats}
+        feats = sorted({player[c[0]] for c in conds})
+        z = {j: float(np.prod([c[3] for c in conds if player[c[0]] == j])) for j in feats}
+        cj = {j: [(c[0], c[1], c[2]) for c in conds if player[c[0]] == j] for j in feats}
         m = len(feats)
         subsets = {}
         for i in feats:
@@ -76,10 +85,10 @@ def _leaf_terms(leaves):
     return out
 
 
-def shap_batch(X: np.ndarray, trees) -> tuple[np.ndarray, np.ndarray, float]:
-    """(contributions n x d, margin n, base) for a batch of feature rows."""
-    n, d = X.shape
-    phi = np.zeros((n, d))
+def shap_batch(X: np.ndarray, trees, players: int) -> tuple[np.ndarray, np.ndarray, float]:
+    """(contributions n x players, margin n, base) in log-odds for a batch of feature rows."""
+    n = len(X)
+    phi = np.zeros((n, players))
     margin = np.zeros(n)
     base = 0.0
     for w, leaves in trees:
@@ -87,8 +96,8 @@ def shap_batch(X: np.ndarray, trees) -> tuple[np.ndarray, np.ndarray, float]:
             o = {}
             for j in feats:
                 ok = np.ones(n, dtype=bool)
-                for thr, left in cj[j]:
-                    ok &= (X[:, j] <= thr) if left else (X[:, j] > thr)
+                for col, thr, left in cj[j]:
+                    ok &= (X[:, col] <= thr) if left else (X[:, col] > thr)
                 o[j] = ok.astype(float)
             zz = float(np.prod([z[j] for j in feats])) if feats else 1.0
             base += w * value * zz
@@ -104,7 +113,7 @@ def shap_batch(X: np.ndarray, trees) -> tuple[np.ndarray, np.ndarray, float]:
                         term = term * o[j]
                     acc += term
                 phi[:, i] += w * value * (o[i] - z[i]) * acc
-    return phi, margin, base
+    return LOG_ODDS * phi, LOG_ODDS * margin, LOG_ODDS * base
 
 
 def tree_contributions(df: DataFrame, gbt_model, input_cols: Sequence[str],
@@ -116,11 +125,11 @@ def tree_contributions(df: DataFrame, gbt_model, input_cols: Sequence[str],
     value and its missing indicator both report to the original feature).
     """
     spark = df.sparkSession
-    path = os.path.join(ensure_checkpoint_dir(spark), "attribution-model")
-    trees = [(w, _leaf_terms(leaves)) for w, leaves in tree_table(gbt_model, path, spark)]
+    path = os.path.join(ensure_checkpoint_dir(spark), f"attribution-model-{uuid.uuid4().hex}")
     group_of = group_of or {c: c for c in input_cols}
     names = list(dict.fromkeys(group_of[c] for c in input_cols))
-    idx = {nme: [i for i, c in enumerate(input_cols) if group_of[c] == nme] for nme in names}
+    player = [names.index(group_of[c]) for c in input_cols]
+    trees = [(w, _leaf_terms(leaves, player)) for w, leaves in tree_table(gbt_model, path, spark)]
     keys = list(keys)
     out_schema = ", ".join([f"{k} {df.schema[k].dataType.simpleString()}" for k in keys]
                            + ["base double", "margin double"]
@@ -130,12 +139,12 @@ def tree_contributions(df: DataFrame, gbt_model, input_cols: Sequence[str],
     def run(batches):
         for pdf in batches:
             X = pdf[cols].to_numpy(dtype=float)
-            phi, margin, base = shap_batch(X, trees)
+            phi, margin, base = shap_batch(X, trees, len(names))
             res = pdf[keys].copy()
             res["base"] = base
             res["margin"] = margin
-            for nm in names:
-                res[f"phi_{nm}"] = phi[:, idx[nm]].sum(axis=1)
+            for i, nm in enumerate(names):
+                res[f"phi_{nm}"] = phi[:, i]
             yield res
 
     return df.select(*keys, *cols).mapInPandas(run, out_schema)
