@@ -1,40 +1,35 @@
-"""Exact grouped quantiles that never hold an unbounded group in one task.
-
-Spark's ``percentile``/``median`` aggregate keeps a value->count map per group and
-merges it in a single task, so a hot group (say a third of all rows in one site)
-would be collected into one executor.  ``group_quantiles`` therefore splits the
-work by group size:
-
-* groups with at most ``direct_max`` rows use the built-in exact ``percentile``
-  aggregate (its buffer is bounded by ``direct_max`` values);
-* larger groups run a distributed selection: histogram rounds keyed by
-  ``(group, rank, bucket)`` -- partial aggregation spreads a hot group over many
-  keys -- narrow each needed order statistic to one bucket, until the remaining
-  candidates fit ``direct_max``; those are ranked with a window whose partitions
-  are bounded by the same limit.
-
-The result is the linear-interpolation quantile (pandas / numpy default, Spark
-``percentile``, DuckDB ``quantile_cont``).
+"""Exact grouped quantiles, one lazy plan for every group size.
+
+1. Rows are counted per (group, value) with map-side combine, so a group that holds a third
+   of all rows is spread over its values.
+2. Values fall into fixed logarithmic buckets (relative width ``2 ** -BUCKET_BITS``, so the
+   bucket of a value never depends on the data).  One row per (group, bucket) gives every
+   bucket the number of rows before it.
+3. Only buckets that hold a needed rank are opened: a running count over their distinct values
+   finds the order statistics.
+
+Nothing is cached, collected or sized while the plan is built; the counts of step 1 are
+shuffled once and read by both later steps.  The result is the linear-interpolation quantile
+(pandas / numpy default, Spark ``percentile``, DuckDB ``quantile_cont``).
 """
 from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+BUCKET_BITS = 14
 
-DIRECT_MAX = 1 << 20
-BUCKETS = 2048
-MAX_ROUNDS = 12
-BROADCAST_ROWS = 1 << 20
+
+def bucket_of(v: Column) -> Column:
+    """Order-preserving bucket: ln is monotone, its range for doubles is -745..710."""
+    width = F.floor((F.least(F.ln(F.abs(v)), F.lit(710.0)) + 750.0) * float(1 << BUCKET_BITS))
+    return F.when(v == 0, F.lit(0)).otherwise(F.signum(v) * width).cast("long")
 
 
 def group_quantiles(df: DataFrame, keys: Sequence[str], value: str,
                     probs: Sequence[float], names: Sequence[str],
-                    direct_max: int | None = None, buckets: int = BUCKETS,
                     exact: bool = True, accuracy: int = 10000) -> DataFrame:
     """Return ``keys + names``: the ``probs`` quantiles of ``value`` per group.
 
@@ -42,7 +37,6 @@ def group_quantiles(df: DataFrame, keys: Sequence[str], value: str,
     ``exact=False`` uses the mergeable ``percentile_approx`` sketch instead.
     """
     keys = list(keys)
-    direct_max = DIRECT_MAX if direct_max is None else direct_max
     v = df.select(*keys, F.nanvl(F.col(value).cast("double"), F.lit(None)).alias("__v")) \
         .where(F.col("__v").isNotNull())
     if not exact:
@@ -50,86 +44,40 @@ def group_quantiles(df: DataFrame, keys: Sequence[str], value: str,
         out = v.groupBy(*keys).agg(q.alias("__q"))
         return out.select(*keys, *[F.col("__q")[i].alias(n) for i, n in enumerate(names)])
 
-    # the narrow (keys, value) projection is read twice (sizes, then quantiles)
-    v = v.persist(StorageLevel.MEMORY_AND_DISK)
-    stats = v.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"),
-                                 F.min("__v").alias("__min"), F.max("__v").alias("__max"))
-    big = stats.where(F.col("__n") > direct_max)
-    if big.isEmpty():
-        return _direct(v, keys, probs, names)
-    large = _select_large(v, cut_lineage(big), keys, probs, names, direct_max, buckets)
-    if not keys:
-        return large
-    small_v = v.join(stats.where(F.col("__n") <= direct_max).select(*keys), keys, "left_semi")
-    return _direct(small_v, keys, probs, names).unionByName(large)
-
-
-def _direct(v: DataFrame, keys, probs, names) -> DataFrame:
-    q = F.percentile("__v", F.array(*[F.lit(float(p)) for p in probs]))
-    out = v.groupBy(*keys).agg(q.alias("__q"))
-    return out.select(*keys, *[F.col("__q")[i].alias(n) for i, n in enumerate(names)])
-
-
-def _rank_rows(big: DataFrame, keys, probs) -> DataFrame:
-    """One row per (group, needed 0-based rank)."""
-    ks = []
+    counts = v.groupBy(*keys, "__v").agg(F.count(F.lit(1)).alias("__c")) \
+        .withColumn("__b", bucket_of(F.col("__v")))
+    totals = counts.groupBy(*keys, "__b").agg(F.sum("__c").alias("__bn"))
+    # one row per group and bucket, whatever the number of rows
+    before = Window.partitionBy(*keys).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    totals = totals.select(*keys, "__b", "__bn", F.coalesce(F.sum("__bn").over(before), F.lit(0)).alias("__before"),
+                           F.sum("__bn").over(Window.partitionBy(*keys)).alias("__n"))
+    ranks = []
     for p in probs:
         pos = (F.col("__n") - 1) * F.lit(float(p))
-        ks += [F.floor(pos).cast("long"), F.ceil(pos).cast("long")]
-    return (big.select(*keys, "__n", "__min", "__max", F.explode(F.array_distinct(F.array(*ks))).alias("__k")))
-
-
-def _select_large(v: DataFrame, big: DataFrame, keys, probs, names, direct_max, buckets):
-    state = _rank_rows(big, keys, probs).select(
-        *keys, "__k", F.col("__min").alias("__a"), F.col("__max").alias("__b"),
-        F.lit(0).cast("long").alias("__c"), F.col("__n").alias("__cnt"))
-    state = cut_lineage(state)
-    data = v.join(big.select(*keys), keys, "left_semi") if keys else v
-    grp = keys + ["__k"]
-    for _ in range(MAX_ROUNDS):
-        open_ = state.where((F.col("__a") < F.col("__b")) & (F.col("__cnt") > direct_max))
-        n_open = open_.count()
-        if n_open == 0:
-            break
-        side = F.broadcast(open_) if n_open <= BROADCAST_ROWS else open_
-        cand = data.join(side, keys) if keys else data.crossJoin(F.broadcast(open_))
-        cand = cand.where((F.col("__v") >= F.col("__a")) & (F.col("__v") <= F.col("__b")))
-        width = (F.col("__b") - F.col("__a")) / F.lit(float(buckets))
-        bucket = F.least(F.floor((F.col("__v") - F.col("__a")) / width), F.lit(buckets - 1))
-        hist = (cand.withColumn("__bk", bucket.cast("long"))
-                .groupBy(*grp, "__bk").agg(F.count(F.lit(1)).alias("__bn"),
-                                            F.min("__v").alias("__bmin"),
-                                            F.max("__v").alias("__bmax"),
-                                            F.first("__c").alias("__c0")))
-        w = Window.partitionBy(*grp).orderBy("__bk").rowsBetween(Window.unboundedPreceding, -1)
-        hist = hist.withColumn("__before", F.coalesce(F.sum("__bn").over(w), F.lit(0)))
-        lo = F.col("__c0") + F.col("__before")
-        chosen = hist.where((lo <= F.col("__k")) & (F.col("__k") < lo + F.col("__bn"))).select(
-            *grp, F.col("__bmin").alias("__a"), F.col("__bmax").alias("__b"),
-            lo.alias("__c"), F.col("__bn").alias("__cnt"))
-        closed = state.join(open_.select(*grp), grp, "left_anti")
-        state = cut_lineage(closed.unionByName(chosen))
-    # resolve: a == b -> value; otherwise rank the (bounded) candidates
-    fixed = state.where(F.col("__a") == F.col("__b")).select(*grp, F.col("__a").alias("__x"))
-    rest = state.where(F.col("__a") < F.col("__b"))
-    cand = (data.join(F.broadcast(rest) if rest.count() <= BROADCAST_ROWS else rest, keys)
-            if keys else data.crossJoin(F.broadcast(rest)))
-    cand = cand.where((F.col("__v") >= F.col("__a")) & (F.col("__v") <= F.col("__b")))
-    wr = Window.partitionBy(*grp).orderBy("__v")
-    ranked = (cand.withColumn("__r", F.row_number().over(wr) - 1 + F.col("__c"))
-              .where(F.col("__r") == F.col("__k")).select(*grp, F.col("__v").alias("__x")))
-    vals = fixed.unionByName(ranked)
-    per_group = vals.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("__k", "__x"))).alias("__m"))
-    per_group = per_group.join(big.select(*keys, "__n"), keys) if keys else per_group.crossJoin(big.select("__n"))
-    outs = []
-    for p, n in zip(probs, names):
-        pos = (F.col("__n") - 1) * F.lit(float(p))
-        lo_k, hi_k = F.floor(pos).cast("long"), F.ceil(pos).cast("long")
-        xl, xh = F.element_at("__m", lo_k), F.element_at("__m", hi_k)
-        # same interpolation form as Spark's percentile
-        outs.append(F.when(lo_k == hi_k, xl)
-                    .otherwise((hi_k - pos) * xl + (pos - lo_k) * xh).alias(n))
-    return per_group.select(*keys, *outs)
+        ranks.append((pos, F.floor(pos).cast("long"), F.ceil(pos).cast("long")))
+    needed = [(F.col("__before") <= k) & (k < F.col("__before") + F.col("__bn")) for _, lo, hi in ranks for k in (lo, hi)]
+    wanted = needed[0]
+    for n in needed[1:]:
+        wanted = wanted | n
+    opened = totals.where(wanted).select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)],
+                                         F.col("__b").alias("__ob"), "__before", "__n")
+    same = F.col("__b") == F.col("__ob")
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"__k{i}"))
+    inside = Window.partitionBy(*keys, "__b").orderBy("__v").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = counts.join(opened, same).withColumn(
+        "__from", F.col("__before") + F.coalesce(F.sum("__c").over(inside), F.lit(0)))
+
+    def at(k: Column) -> Column:
+        return F.max(F.when((F.col("__from") <= k) & (k < F.col("__from") + F.col("__c")), F.col("__v")))
+
+    picked = ranked.groupBy(*keys).agg(F.max("__n").alias("__n"), *[
+        at(k).alias(f"__{side}{i}") for i, (_, lo, hi) in enumerate(ranks) for side, k in (("lo", lo), ("hi", hi))])
+    out = []
+    for i, (name, (pos, lo, hi)) in enumerate(zip(names, ranks)):
+        low, high = F.col(f"__lo{i}"), F.col(f"__hi{i}")
+        out.append(F.when(lo == hi, low).otherwise((hi - pos) * low + (pos - lo) * high).alias(name))
+    return picked.select(*keys, *out) if keys else picked.where("__n is not null").select(*out)
 
 
 def median_of(df: DataFrame, keys: Sequence[str], value: str, name: str, **kw) -> DataFrame:
@@ -138,5 +86,4 @@ def median_of(df: DataFrame, keys: Sequence[str], value: str, name: str, **kw) -
 
 def scalar_quantile_frame(df: DataFrame, value: str, probs, names, **kw) -> DataFrame:
     """One-row frame of global quantiles (a hot 'group' of all rows)."""
-    out = group_quantiles(df, [], value, probs, names, **kw)
-    return out
+    return group_quantiles(df, [], value, probs, names, **kw)
