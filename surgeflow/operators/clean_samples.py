@@ -1,8 +1,7 @@
 """Entry point A: raw site-day samples -> audited state-week table.
 
 Plan shape (3 shuffles on the row data): one-row global LOD median (scalar
-broadcast), keep-first de-duplication as a map-side-combined ``min(struct)``
-aggregate keyed by (site, date, gene, matrix), per-site robust statistics as
+broadcast), keep-first de-duplication as a ``row_number`` window keyed by (site, date, gene, matrix), per-site robust statistics as
 aggregates joined back on ``site`` (AQE splits a hot site), and the weekly
 ``groupBy(state, week)``.  Exact medians go through ``group_quantiles`` so that no
 site or state-week is ever collected whole into one task.
@@ -11,8 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import (CleanSamplesConfig, LIQUID_UNIT, LOG_UNIT_PREFIX, OUTLIER_Z,
@@ -107,13 +105,11 @@ def dedupe_first(df: DataFrame, keys=("site", "sample_collect_date",
                  order_col: str = "__ord") -> DataFrame:
     """``drop_duplicates(keys, keep='first')`` with an explicit order (T1).
 
-    ``min(struct(order, row))`` is combined map-side, so a huge duplicate group
-    shrinks to one row per map task before the shuffle.
+    One exchange: ``row_number() = 1`` is planned with a group limit on the map side, so a
+    huge duplicate group shrinks to one row per map task before the shuffle.
     """
-    payload = [c for c in df.columns if c not in keys and c != order_col]
-    agg = df.groupBy(*keys).agg(F.min(F.struct(order_col, *payload)).alias("__r"))
-    return agg.select(*keys, F.col(f"__r.{order_col}").alias(order_col),
-                      *[F.col(f"__r.{p}").alias(p) for p in payload])
+    first = Window.partitionBy(*keys).orderBy(order_col)
+    return df.withColumn("__rn", F.row_number().over(first)).where("__rn = 1").drop("__rn")
 
 
 def site_scores(df: DataFrame, exact: bool = True) -> DataFrame:
@@ -164,18 +160,13 @@ def weekly_state(scored: DataFrame, exact: bool = True) -> DataFrame:
 def clean_samples(raw: DataFrame, cfg: CleanSamplesConfig = CleanSamplesConfig()) -> SampleStages:
     prepared = prepare(raw, cfg)
     kept = prepared.where(F.col("__fail").isNull()).drop("__fail")
-    if cfg.checkpoint:
-        # read twice (global LOD median, then de-dup): one scan of the raw input
-        kept = kept.persist(StorageLevel.MEMORY_AND_DISK)
     med_lod = group_quantiles(kept, [], "lod_sewage", [0.5], ["med_lod"], exact=cfg.exact)
     filtered = substitute_nondetects(kept, med_lod)
     # the de-duplicated rows feed the site statistics, the weekly table and the
     # audit: write them once to the shared checkpoint folder (cuts lineage)
+    deduped = dedupe_first(filtered)
     if cfg.checkpoint:
-        deduped = cut_lineage(dedupe_first(filtered))
-        kept.unpersist()
-    else:
-        deduped = dedupe_first(filtered)
+        deduped = cut_lineage(deduped)
     scored = site_scores(deduped, exact=cfg.exact)
     weekly_all = weekly_state(scored, exact=cfg.exact)
     weekly = weekly_all.where(F.col("n_sites") >= cfg.min_sites)

@@ -124,8 +124,8 @@ def labelled(train: DataFrame) -> DataFrame:
     return train.where(F.col(LABEL).isNotNull()).withColumn("label", F.col(LABEL).cast("double"))
 
 
-def fit_all(train: DataFrame, cols: Sequence[str], rf_trees: int = 200, rf_depth: int = 12,
-            gbt_iter: int = 200, seed: int = 42, only_lr: bool = False) -> FittedModels:
+def fit_all(train: DataFrame, cols: Sequence[str], rf_trees: int = 200, rf_depth: int = 30,
+            gbt_iter: int = 200, seed: int = 42) -> FittedModels:
     cols = list(cols)
     train = labelled(train)
     pp = fit_preprocessing(train, cols)
@@ -140,8 +140,6 @@ def fit_all(train: DataFrame, cols: Sequence[str], rf_trees: int = 200, rf_depth
                            regParam=1.0 / n, elasticNetParam=0.0, standardization=False,
                            predictionCol="lr_pred", probabilityCol="lr_prob",
                            rawPredictionCol="lr_raw")]).fit(prepared)
-    if only_lr:
-        return FittedModels(cols, med, stats, w, majority, lr, None, None)
     rf = Pipeline(stages=[
         VectorAssembler(inputCols=[f"i_{c}" for c in cols], outputCol="v_rf"),
         RandomForestClassifier(featuresCol="v_rf", labelCol="label", weightCol="w",
@@ -156,7 +154,7 @@ def fit_all(train: DataFrame, cols: Sequence[str], rf_trees: int = 200, rf_depth
     return FittedModels(cols, med, stats, w, majority, lr, rf, gbt)
 
 
-MODEL_NAMES = {"lr": "Logistic Regression", "rf": "Random Forest", "gbt": "XGBoost"}
+MODEL_NAMES = {"lr": "Logistic Regression", "rf": "Random Forest", "gbt": "Gradient-boosted trees"}
 
 
 def score_batch(fm: FittedModels, df: DataFrame) -> DataFrame:

@@ -43,7 +43,7 @@ def predictions(spark, sf_dir):
     k = _key(spark, "pred", sf_dir)
     if k not in _CACHE:
         _, te = train_test(spark, sf_dir)
-        _CACHE[k] = ML.score_batch(fitted(spark, sf_dir), te).persist()
+        _CACHE[k] = cut_lineage(ML.score_batch(fitted(spark, sf_dir), te))
     return _CACHE[k]
 
 
@@ -116,20 +116,21 @@ def q_model_report(spark, sf_dir):
 def q_reproduce(spark, sf_dir):
     """Save -> load -> re-score the boosted model; compare with the stored metrics."""
     import os
+    import uuid
     from ..session import ensure_checkpoint_dir
     fm = fitted(spark, sf_dir)
-    root = os.path.join(ensure_checkpoint_dir(spark), "model-store")
+    root = os.path.join(ensure_checkpoint_dir(spark), f"model-store-{uuid.uuid4().hex}")
     ML.save_models(fm, root)
     loaded = ML.load_model(root, "gbt")
     _, te = train_test(spark, sf_dir)
     cols = fm.features
     x = ML.apply_scale(ML.sentinel_columns(ML.apply_impute(te, fm.med, cols), cols), fm.scale, cols)
     from pyspark.ml.functions import vector_to_array
-    again = loaded.transform(x).select(F.lit("XGBoost").alias("model"),
+    again = loaded.transform(x).select(F.lit(ML.MODEL_NAMES["gbt"]).alias("model"),
                                        F.col(ML.LABEL).cast("int").alias("label"),
                                        F.col("gbt_pred").cast("int").alias("prediction"),
                                        vector_to_array("gbt_prob")[1].alias("score"))
-    stored = M.report(ML.long_predictions(predictions(spark, sf_dir))).where(F.col("model") == "XGBoost")
+    stored = M.report(ML.long_predictions(predictions(spark, sf_dir))).where(F.col("model") == ML.MODEL_NAMES["gbt"])
     redo = M.report(again)
     j = stored.select("model", F.col("roc_auc").alias("stored_roc_auc"), F.col("f1").alias("stored_f1")) \
         .join(redo.select("model", F.col("roc_auc").alias("reproduced_roc_auc"),
@@ -141,30 +142,33 @@ def q_reproduce(spark, sf_dir):
 
 @register("sp_cross_val_scores")
 def q_cv(spark, sf_dir):
-    """Rolling-origin evaluation (logistic model and majority baseline): mean and sd of
-    AUC / F1 over the folds that have a test slice and two classes in training."""
+    """Rolling-origin evaluation of every model and the majority baseline: mean and sd of
+    AUC / F1 over the folds with a test slice and two classes in training; the number of
+    folds without is in ``folds_skipped``."""
     from ..config import PanelConfig
     pcfg = PanelConfig()
     mr = panel(spark, sf_dir).ready
     from ..operators.matrix import add_temporal_geo
     base = add_temporal_geo(mr)
-    rows = None
+    rows, skipped = None, 0
     for i, (s, tr_end, te_end) in enumerate(pcfg.folds, 1):
         wk = F.col("week_end")
         tr = base.where((wk >= F.lit(s).cast("date")) & (wk < F.lit(tr_end).cast("date")))
         te = base.where((wk >= F.lit(tr_end).cast("date")) & (wk < F.lit(te_end).cast("date")))
         if te.isEmpty() or tr.select(ML.LABEL).distinct().count() < 2:
+            skipped += 1
             continue
-        fm = ML.fit_all(tr, FEATS, only_lr=True)
+        fm = ML.fit_all(tr, FEATS)
         rep = M.report(ML.long_predictions(ML.score_batch(fm, te))).withColumn("fold", F.lit(i))
         rows = rep if rows is None else rows.unionByName(rep)
     if rows is None:
         return spark.createDataFrame([], "model string, folds long, roc_auc_mean double, "
-                                     "roc_auc_sd double, f1_mean double, f1_sd double")
+                                     "roc_auc_sd double, f1_mean double, f1_sd double, "
+                                     "folds_skipped int")
     return finish(rows.groupBy("model").agg(
         F.count(F.lit(1)).alias("folds"), F.avg("roc_auc").alias("roc_auc_mean"),
         F.stddev_samp("roc_auc").alias("roc_auc_sd"), F.avg("f1").alias("f1_mean"),
-        F.stddev_samp("f1").alias("f1_sd")))
+        F.stddev_samp("f1").alias("f1_sd")).withColumn("folds_skipped", F.lit(skipped)))
 
 
 # ------------------------------------------------------------------ latest-row scoring
@@ -232,7 +236,7 @@ def contributions(spark, sf_dir):
         gbt = fm.gbt.stages[-1]
         inputs = ML.gbt_inputs(fm.features)
         group_of = {c: c[2:] for c in inputs}
-        _CACHE[k] = XP.tree_contributions(x, gbt, inputs, group_of=group_of).persist()
+        _CACHE[k] = cut_lineage(XP.tree_contributions(x, gbt, inputs, group_of=group_of))
     return _CACHE[k]
 
 
@@ -244,7 +248,7 @@ def q_tree_contrib(spark, sf_dir):
     p = predictions(spark, sf_dir).select("state_territory", "week_end", "gbt_margin")
     j = w.join(p, ["state_territory", "week_end"])
     return finish(j.withColumn("additive", F.abs(total - F.col("margin")) < 1e-6)
-                  .withColumn("matches_model", F.abs(F.col("margin") - F.col("gbt_margin")) < 1e-6))
+                  .withColumn("matches_model", F.abs(F.col("margin") - 2 * F.col("gbt_margin")) < 1e-6))
 
 
 @register("xp_mean_abs_rank")

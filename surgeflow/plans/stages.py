@@ -1,8 +1,7 @@
-"""Stage builders shared by the registered queries (memoised per session + folder).
+"""Stage builders shared by the registered queries.
 
-Building a stage runs a few small actions (group-size checks of the quantile
-operator, one checkpoint of the de-duplicated rows); memoising keeps each of
-them to once per process even when many queries read the same stage.
+A stage is a written table.  It is reused by later queries of the same session as long as the
+files of the folder it was built from are the same (names, sizes and modification times).
 """
 from __future__ import annotations
 
@@ -34,9 +33,16 @@ class Panel:
     era: DataFrame
 
 
-def _key(spark: SparkSession, *parts):
-    # a stage built in one application must never be reused by another session
-    return (spark.sparkContext.applicationId, id(spark)) + parts
+def _files(spark: SparkSession, sf_dir: str) -> tuple:
+    """Count, bytes and last change of the folder's files, from a listing without contents."""
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true") \
+        .option("pathGlobFilter", "*.parquet").load(sf_dir)
+    return tuple(listed.agg(F.count("path"), F.sum("length"), F.max("modificationTime").cast("string")).first())
+
+
+def _key(spark: SparkSession, name: str, sf_dir: str, *parts):
+    """Stages are kept per application and per state of the folder's files."""
+    return (spark.sparkContext.applicationId, id(spark), name, sf_dir, _files(spark, sf_dir)) + parts
 
 
 def samples(spark: SparkSession, sf_dir: str, min_sites: int = 2) -> CS.SampleStages:

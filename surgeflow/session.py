@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -55,37 +56,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or conf_dir
 
 
-def cut_lineage(df, eager: bool = True):
-    """Reliable checkpoint into the shared checkpoint folder (survives executor loss).
+def cut_lineage(df):
+    """Write ``df`` as Parquet to the shared checkpoint folder and read it back.
 
-    A reliable RDD checkpoint writes its files in a second job after the first one
-    finishes; persisting first lets that job read the cached blocks instead of
-    recomputing the whole lineage.
+    The table survives executor loss, and later plans prune its columns and push their
+    filters into the scan.
     """
-    from pyspark import StorageLevel
-    ensure_checkpoint_dir(df.sparkSession)
-    if not eager:
-        return df.checkpoint(eager=False)
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    out = cached.checkpoint(eager=True)
-    cached.unpersist()
-    return out
+    path = os.path.join(ensure_checkpoint_dir(df.sparkSession), f"stage-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
-
-
-BROADCAST_MAX_ROWS = 1_000_000
-
-
-def broadcast_if_small(df, max_rows: int = BROADCAST_MAX_ROWS):
-    """Broadcast a dimension side only behind a checked size bound.
-
-    ``limit(max_rows + 1).count()`` stops after ``max_rows + 1`` rows, so the check
-    itself is bounded; above the bound the side is left to a shuffle join (AQE may
-    still convert it at run time under ``spark.sql.autoBroadcastJoinThreshold``).
-    """
-    from pyspark.sql import functions as F
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.calendar import week_end_saturday
-from ..session import broadcast_if_small, table_path
+from ..session import table_path
 
 # Ordinal that fixes the "first" row of a duplicate group (T1); unique in the data.
 RECORD_KEY = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
@@ -26,10 +26,10 @@ def samples_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read(spark, sf_dir, "lineitem")
     sup = read(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey", "s_acctbal")
     nat = read(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    # nation has a fixed 25 rows; supplier grows with the data -> broadcast only
-    # behind a checked row bound, otherwise a shuffle join on the supplier key.
+    # nation has a fixed 25 rows; supplier grows with the data, so AQE decides at run time
+    # whether its side is small enough to broadcast.
     sn = sup.join(F.broadcast(nat), sup.s_nationkey == nat.n_nationkey)
-    j = li.join(broadcast_if_small(sn), li.l_suppkey == sn.s_suppkey)
+    j = li.join(sn, li.l_suppkey == sn.s_suppkey)
     rf = F.col("l_returnflag")
     units = (F.when(rf == "R", F.lit(" Log10 copies/L wastewater"))
              .when(rf == "A", F.lit("copies/L wastewater "))
@@ -72,7 +72,7 @@ def hospital_raw(spark: SparkSession, sf_dir: str, with_rollups: bool = True) ->
     c = read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     n = read(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     cn = c.join(F.broadcast(n), c.c_nationkey == n.n_nationkey)
-    j = (o.join(broadcast_if_small(cn), o.o_custkey == cn.c_custkey)
+    j = (o.join(cn, o.o_custkey == cn.c_custkey)
          .select("n_name", "n_regionkey",
                  week_end_saturday("o_orderdate").alias("wk"),
                  (F.col("o_orderstatus") != "P").cast("int").alias("reported")))
