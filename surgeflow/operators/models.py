@@ -14,12 +14,13 @@ from typing import Sequence
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (GBTClassifier, LogisticRegression,
                                        RandomForestClassifier)
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
+from ..sources import io as IO
 from .quantiles import group_quantiles
 
 LABEL = "y_surge_next_week"
@@ -189,15 +190,50 @@ def long_predictions(wide: DataFrame) -> DataFrame:
     return out
 
 
-def save_models(fm: FittedModels, root: str) -> None:
+def preprocessing_stage(fm: FittedModels) -> SQLTransformer:
+    """Imputation, scaling and sentinels as one persistable stage with literal statistics.
+
+    The statistics are one row per table (a value per feature)."""
+    med, scale = fm.med.first().asDict(), fm.scale.first().asDict()
+    parts = []
+    for c in fm.features:
+        x = f"CAST(`{c}` AS DOUBLE)"
+        middle = med[c] if med[c] is not None else 0.0
+        mean, sd = scale[f"__mu_{c}"] or 0.0, scale[f"__sd_{c}"] or 1.0
+        filled = f"coalesce({x}, {middle!r}D)"
+        parts += [f"{filled} AS i_{c}", f"({filled} - {mean!r}D) / {sd!r}D AS s_{c}",
+                  f"coalesce(nanvl({x}, NULL), {SENTINEL!r}D) AS g_{c}",
+                  f"CAST(`{c}` IS NULL AS DOUBLE) AS m_{c}"]
+    return SQLTransformer(statement=f"SELECT *, {', '.join(parts)} FROM __THIS__")
+
+
+def save_models(fm: FittedModels, root: str, metrics: DataFrame | None = None) -> None:
+    """Each learner with its preprocessing as one pipeline, the feature list and the metrics.
+
+    A loaded pipeline selects its features by name, so it scores raw rows with any other
+    columns beside them."""
+    spark = fm.med.sparkSession
     for k in MODEL_NAMES:
-        getattr(fm, k).write().overwrite().save(os.path.join(root, k))
+        if getattr(fm, k) is not None:
+            stages = [preprocessing_stage(fm), *getattr(fm, k).stages]
+            PipelineModel(stages).write().overwrite().save(os.path.join(root, k))
+    IO.save_feature_list(spark, fm.features, os.path.join(root, "features"))
+    if metrics is not None:
+        metrics.write.mode("overwrite").parquet(os.path.join(root, "metrics"))
 
 
 def load_model(root: str, key: str) -> PipelineModel:
     return PipelineModel.load(os.path.join(root, key))
 
 
+def score_stored(root: str, key: str, df: DataFrame) -> DataFrame:
+    """``df`` with ``prediction`` and ``score`` of a stored pipeline."""
+    IO.require_columns(df, IO.load_feature_list(df.sparkSession, os.path.join(root, "features")))
+    return load_model(root, key).transform(df).select(
+        *[df[c] for c in df.columns], F.col(f"{key}_pred").cast("int").alias("prediction"),
+        vector_to_array(F.col(f"{key}_prob"))[1].alias("score"))
+
+
 def strength(prob_col: str = "confidence"):
     """High >= .75, Moderate >= .50, else Low, on the predicted class's probability."""
     p = F.col(prob_col)

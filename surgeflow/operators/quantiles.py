@@ -33,7 +33,8 @@ def group_quantiles(df: DataFrame, keys: Sequence[str], value: str,
                     exact: bool = True, accuracy: int = 10000) -> DataFrame:
     """Return ``keys + names``: the ``probs`` quantiles of ``value`` per group.
 
-    NULL (and NaN) values are ignored; a group with no values is absent.
+    NULL (and NaN) values are ignored; a group with no values is absent (without keys there is
+    always one row, of nulls if there are no values).
     ``exact=False`` uses the mergeable ``percentile_approx`` sketch instead.
     """
     keys = list(keys)
@@ -77,7 +78,7 @@ def group_quantiles(df: DataFrame, keys: Sequence[str], value: str,
     for i, (name, (pos, lo, hi)) in enumerate(zip(names, ranks)):
         low, high = F.col(f"__lo{i}"), F.col(f"__hi{i}")
         out.append(F.when(lo == hi, low).otherwise((hi - pos) * low + (pos - lo) * high).alias(name))
-    return picked.select(*keys, *out) if keys else picked.where("__n is not null").select(*out)
+    return picked.select(*keys, *out)
 
 
 def median_of(df: DataFrame, keys: Sequence[str], value: str, name: str, **kw) -> DataFrame:

@@ -328,3 +328,4 @@ from . import catalog_eval  # noqa: E402,F401
 from . import catalog_stats  # noqa: E402,F401
 from . import catalog_models  # noqa: E402,F401
 from . import catalog_ids  # noqa: E402,F401
+from . import catalog_checks  # noqa: E402,F401

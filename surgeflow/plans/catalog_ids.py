@@ -22,9 +22,9 @@ ALIASES = {
     "wn_outlier_flag": "wn_site_scores", "wn_site_z": "wn_site_scores",
     "wn_site_median": "wn_site_stats", "wn_site_mad": "wn_site_stats",
     "sc_regime_case": "clean_labels", "sc_pct_to_fraction": "clean_labels",
-    "sc_coverage_fallback": "clean_labels", "so_panel_sort": "clean_labels",
+    
     "fl_drop_window": "au_label_log",
-    "fl_drop_null_key": "au_step_log", "fl_unit_equals": "au_step_log", "fl_in_list": "au_step_log",
+    "fl_unit_equals": "au_step_log", "fl_in_list": "au_step_log",
     "sc_per_capita": "wn_panel_features", "wn_lead_next": "wn_panel_features",
     "wn_gap_guard": "wn_panel_features", "wn_group_median": "wn_panel_features",
     "wn_lags": "wn_panel_features", "wn_delta1": "wn_panel_features", "wn_roll3": "wn_panel_features",
@@ -32,14 +32,14 @@ ALIASES = {
     "lb_reg_next": "lb_model_ready", "lb_surge": "lb_model_ready", "fl_require_label_lag": "lb_model_ready",
     "fl_date_range": "sp_flag_column",
     "sc_month": "sc_onehot", "sc_iso_week": "sc_onehot", "sc_season_bins": "sc_onehot",
-    "sc_region_map": "sc_onehot", "jn_lookup_region": "sc_onehot",
+    
     "sc_minmax_scale": "ed_trend_scaled", "fl_complete_pairs": "ed_z_vs_next",
-    "fl_min_rows_guard": "ag_linear_fit", "ed_scatter_fits": "ag_linear_fit",
+    "ed_scatter_fits": "ag_linear_fit",
     "sc_pad_code": "ed_explode_codes", "ed_county_diff": "st_difference_both",
     "st_concat_values": "ag_hist_fd", "ed_distributions": "ag_hist_fd",
     "ag_relabel_other": "wn_share_of_group", "ed_method_mix": "ag_pivot_share",
     "ed_method_popularity": "ag_tail_to_other", "ed_method_effect": "ag_box_stats",
-    "so_topk": "ag_variation_rank", "sc_round6": "ml_score_batch", "ml_pipeline_select": "ml_gbt",
+    
 }
 
 for _id, _target in ALIASES.items():
@@ -79,29 +79,6 @@ def q_unlog(spark, sf_dir):
         F.sum(unlog10("pcr_target_avg_conc", is_log)).alias("linear_conc_sum")), digits=2)
 
 
-O.CTE["k_rucc_all"] = """
-SELECT CAST(p.p_partkey % 60 AS VARCHAR) AS FIPS, n.n_name AS State, 'RUCC_2023' AS Attribute,
-       CAST(p.p_size AS VARCHAR) AS Value FROM part p JOIN nation n ON p.p_partkey % 25 = n.n_nationkey"""
-
-
-@register("sc_cast_num_coerce", O.sql(
-    "SELECT Value, " + R("CASE WHEN regexp_full_match(Value, '\\s*[+-]?(\\d+\\.?\\d*|\\.\\d+)([eE][+-]?\\d+)?\\s*') "
-                         "THEN TRY_CAST(trim(Value) AS DOUBLE) END", "value_num")
-    + ", CAST(count(*) AS BIGINT) AS n FROM k_rucc_all GROUP BY Value"))
-def q_num(spark, sf_dir):
-    r = fx.rucc_long(spark, sf_dir).where(F.col("Attribute") == "RUCC_2023")
-    return finish(r.groupBy("Value").agg(F.count(F.lit(1)).alias("n")).select(
-        "Value", coerce_double("Value", dtype_of(r, "Value")).alias("value_num"), "n"))
-
-
-@register("sc_cast_date_coerce", O.sql(
-    "SELECT DISTINCT CAST(strftime(wk, '%Y-%m-%d') AS VARCHAR) AS weekendingdate, wk AS week_end FROM h_base"))
-def q_date(spark, sf_dir):
-    from ..functions.semantics import coerce_date
-    h = fx.hospital_raw(spark, sf_dir, with_rollups=False)
-    return h.select("weekendingdate", coerce_date("weekendingdate").alias("week_end")).distinct()
-
-
 @register("jn_features_targets_inner", O.sql(
     "SELECT state_territory, week_end, split_era, y_surge_next_week, " + R("log10_conc_mean", "log10_conc_mean")
     + " FROM p_era"))
@@ -191,13 +168,3 @@ def q_csv_projected(spark, sf_dir):
     return finish(back.select("jurisdiction", "weekendingdate",
                               coerce_double("totalconfc19newadm", dtype_of(back, "totalconfc19newadm"))
                               .alias("totalconfc19newadm")))
-
-
-@register("io_read_csv_latin1", O.sql(
-    "SELECT FIPS, State, Attribute, Value FROM k_rucc_all"))
-def q_csv_latin1(spark, sf_dir):
-    from ..sources import io as IO
-    path = _export_dir(spark, "rucc")
-    r = fx.rucc_long(spark, sf_dir).where(F.col("Attribute") == "RUCC_2023")
-    r.write.mode("overwrite").option("header", True).option("encoding", "ISO-8859-1").csv(path)
-    return IO.read_csv_latin1(spark, path).select("FIPS", "State", "Attribute", "Value")

@@ -5,6 +5,9 @@ statistics (medians, standardisation) and the latest-row features have DuckDB tw
 """
 from __future__ import annotations
 
+import os
+import uuid
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -16,7 +19,7 @@ from ..operators.quantiles import group_quantiles
 from ..operators.score import latest_features, score_latest
 from . import oracle_sql as O
 from .catalog import R, register
-from ..session import cut_lineage
+from ..session import cut_lineage, ensure_checkpoint_dir
 from .stages import _CACHE, _key, era_matrix, finish, panel
 
 FEATS = list(MODEL_FEATURES)
@@ -112,32 +115,40 @@ def q_model_report(spark, sf_dir):
     return finish(M.model_order(M.report(ML.long_predictions(predictions(spark, sf_dir)))))
 
 
+def stored_models(spark, sf_dir) -> str:
+    """Folder of the stored pipelines, their feature list and their metrics on the test rows."""
+    k = _key(spark, "store", sf_dir)
+    if k not in _CACHE:
+        root = os.path.join(ensure_checkpoint_dir(spark), f"model-store-{uuid.uuid4().hex}")
+        ML.save_models(fitted(spark, sf_dir), root, M.report(ML.long_predictions(predictions(spark, sf_dir))))
+        _CACHE[k] = root
+    return _CACHE[k]
+
+
+@register("ml_pipeline_select")
+def q_pipeline(spark, sf_dir):
+    """A stored pipeline scores raw test rows with extra columns, feature list included."""
+    _, te = train_test(spark, sf_dir)
+    scored = ML.score_stored(stored_models(spark, sf_dir), "gbt", te.withColumn("extra", F.lit("x")))
+    return finish(scored.select("state_territory", "week_end", "extra", "prediction", "score"))
+
+
 @register("mt_reproduce_check")
 def q_reproduce(spark, sf_dir):
-    """Save -> load -> re-score the boosted model; compare with the stored metrics."""
-    import os
-    import uuid
-    from ..session import ensure_checkpoint_dir
-    fm = fitted(spark, sf_dir)
-    root = os.path.join(ensure_checkpoint_dir(spark), f"model-store-{uuid.uuid4().hex}")
-    ML.save_models(fm, root)
-    loaded = ML.load_model(root, "gbt")
+    """Every metric of every stored pipeline against the stored record."""
+    root = stored_models(spark, sf_dir)
     _, te = train_test(spark, sf_dir)
-    cols = fm.features
-    x = ML.apply_scale(ML.sentinel_columns(ML.apply_impute(te, fm.med, cols), cols), fm.scale, cols)
-    from pyspark.ml.functions import vector_to_array
-    again = loaded.transform(x).select(F.lit(ML.MODEL_NAMES["gbt"]).alias("model"),
-                                       F.col(ML.LABEL).cast("int").alias("label"),
-                                       F.col("gbt_pred").cast("int").alias("prediction"),
-                                       vector_to_array("gbt_prob")[1].alias("score"))
-    stored = M.report(ML.long_predictions(predictions(spark, sf_dir))).where(F.col("model") == ML.MODEL_NAMES["gbt"])
-    redo = M.report(again)
-    j = stored.select("model", F.col("roc_auc").alias("stored_roc_auc"), F.col("f1").alias("stored_f1")) \
-        .join(redo.select("model", F.col("roc_auc").alias("reproduced_roc_auc"),
-                          F.col("f1").alias("reproduced_f1")), "model")
-    same = (F.abs(F.col("stored_roc_auc") - F.col("reproduced_roc_auc")) < 1e-9) & \
-        (F.abs(F.col("stored_f1") - F.col("reproduced_f1")) < 1e-9)
-    return finish(j.withColumn("reproduced", same))
+    again = None
+    for k, name in ML.MODEL_NAMES.items():
+        part = ML.score_stored(root, k, te).select(F.lit(name).alias("model"), F.col(ML.LABEL).cast("int").alias("label"),
+                                                   "prediction", "score")
+        again = part if again is None else again.unionByName(part)
+    names = ["accuracy", "balanced_accuracy", "precision", "recall", "specificity", "f1", "roc_auc", "pr_auc"]
+    stored = spark.read.parquet(os.path.join(root, "metrics"))
+    both = M.metric_long(stored, names).withColumnRenamed("value", "stored").join(
+        M.metric_long(M.report(again), names).withColumnRenamed("value", "reproduced"), ["model", "metric"])
+    same = F.coalesce(F.abs(F.col("stored") - F.col("reproduced")) < 1e-9, F.col("stored").eqNullSafe(F.col("reproduced")))
+    return finish(both.withColumn("same", same))
 
 
 @register("sp_cross_val_scores")
@@ -218,7 +229,7 @@ def q_score_latest(spark, sf_dir):
     return finish(score_latest(fitted(spark, sf_dir), latest_features(p.samples.weekly, p.labels)))
 
 
-@register("ml_strength_bucket")
+@register("ml_strength_latest")
 def q_strength(spark, sf_dir):
     p = panel(spark, sf_dir)
     s = score_latest(fitted(spark, sf_dir), latest_features(p.samples.weekly, p.labels))
@@ -251,12 +262,12 @@ def q_tree_contrib(spark, sf_dir):
                   .withColumn("matches_model", F.abs(F.col("margin") - 2 * F.col("gbt_margin")) < 1e-6))
 
 
-@register("xp_mean_abs_rank")
+@register("xp_tree_mean_abs_rank")
 def q_mean_abs(spark, sf_dir):
     return finish(XP.mean_abs_rank(XP.to_long(contributions(spark, sf_dir))))
 
 
-@register("xp_dependence")
+@register("xp_tree_dependence")
 def q_dependence(spark, sf_dir):
     long = XP.to_long(contributions(spark, sf_dir)).where(F.col("feature").isin(*TOP4_DEPENDENCE))
     _, te = train_test(spark, sf_dir)
@@ -299,7 +310,7 @@ def q_linear(spark, sf_dir):
                              *[F.col(f"phi_s_{c}").alias(f"phi_{c}") for c in fm.features]))
 
 
-@register("so_first_match")
+@register("so_first_match_model")
 def q_first_match(spark, sf_dir):
     p = predictions(spark, sf_dir)
     outcome = F.when((F.col("actual") == 1) & (F.col("gbt_pred") == 1), "true_positive") \

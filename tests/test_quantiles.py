@@ -34,7 +34,7 @@ def test_signs_zeros_extremes_and_null_keys(spark):
     got = {r.g: (r.a, r.b, r.c) for r in group_quantiles(df, ["g"], "v", [0.0, 0.3, 1.0], ["a", "b", "c"]).collect()}
     assert np.allclose(got["g"], np.percentile(vals, [0, 30, 100]), rtol=1e-12, atol=0)
     assert np.allclose(got[None], (2.0, 2.6, 4.0), rtol=1e-12)
-    assert group_quantiles(df.where("v > 1e305"), [], "v", [0.5], ["m"]).count() == 0
+    assert group_quantiles(df.where("v > 1e305"), [], "v", [0.5], ["m"]).collect() == [(None,)]
 
 
 def test_quantiles_leave_nothing_cached_and_are_lazy(spark):
