@@ -99,14 +99,17 @@ def dropped_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = M
                   batches: int = BATCHES) -> DataFrame:
     """(doc_id, text_hash, dropped): line numbers each document loses."""
     lines = hashed_lines(docs, min_chars)
-    bounds = docs.stat.approxQuantile("doc_id", [k / batches for k in range(1, batches)], 0.01) \
-        if dict(docs.dtypes)["doc_id"] in ("int", "bigint", "smallint", "tinyint") else []
+    cuts = [k / batches for k in range(1, batches)]
+    whole_numbers = dict(docs.dtypes)["doc_id"] in ("int", "bigint", "smallint", "tinyint")
+    # rough cuts are enough: they only decide which batch a document comes in
+    found = docs.stat.approxQuantile("doc_id", cuts, 0.01) if cuts and whole_numbers else []
+    bounds = sorted({int(b) for b in found})
     batch = F.lit(0)
-    for bound in sorted(set(bounds or [])):
-        batch = batch + F.when(F.col("doc_id") > F.lit(int(bound)), 0).otherwise(1)
+    for bound in bounds:
+        batch = batch + F.when(F.col("doc_id") > F.lit(bound), 0).otherwise(1)
     lines = stage(lines.withColumn("batch", batch), "lines", ["batch"])
     runs = LineRuns(docs.sparkSession)
-    for k in range(len(set(bounds or [])) + 1):
+    for k in range(len(bounds) + 1):
         runs.add(lines.where(F.col("batch") == k))
     common = runs.counts().where(F.col("n_docs") >= min_docs).select("key", "keeper")
     return (lines.join(common, "key")
