@@ -6,7 +6,7 @@ functions  scalar column expressions (coercion, calendar, null/NaN rules)
 sources    typed readers / writers and the driver-table adapters
 operators  cleaning, panel, labels, splits, metrics, statistics, models
 plans      the registered query catalog and its DuckDB twins
-streaming  incremental (file-stream) variant of the weekly aggregate
+llm        training-data operators (warc, packing, dedup, decontamination, scoring)
 """
 
 __version__ = "0.1.0"

@@ -73,7 +73,7 @@ def prefix_test(c, prefix: str) -> Column:
 
 
 def unlog10(value, is_log) -> Column:
-    """Rows reported in log10 -> linear ``10**x`` (NaN/inf -> NULL)."""
+    """Rows reported in log10 -> linear ``10**x`` (NaN -> NULL)."""
     return F.when(is_log, nan_to_null(F.pow(F.lit(10.0), col(value)))).otherwise(col(value))
 
 

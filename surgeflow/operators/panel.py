@@ -41,6 +41,13 @@ def zero_match_guard(ww: DataFrame, labels: DataFrame, cfg: PanelConfig = PanelC
                  F.count_if(F.col("__l").isNull()).alias("right_only_keys"))
 
 
+def check_written(features: DataFrame) -> None:
+    """Raise if a written panel has rows but none with admissions (reads one column)."""
+    seen = features.agg(F.count(F.lit(1)).alias("n"), F.count("admits").alias("matched")).first()
+    if seen["n"] and not seen["matched"]:
+        raise ValueError("join on (state, week) matched no rows; check the week-ending day")
+
+
 def assert_matches(guard: DataFrame) -> None:
     row = guard.first()
     if row is None or row["matched_keys"] == 0:

@@ -172,19 +172,28 @@ def tail_to_other(df: DataFrame, col: str, keep_tail: int = 3) -> DataFrame:
 def relabel_other(df: DataFrame, col: str, kept: DataFrame) -> DataFrame:
     """Row-level category -> 'other' unless it is one of the kept categories."""
     k = kept.where(F.col("category") != "other").select(F.col("category").alias("__kc"))
-    j = df.withColumn("__c", S.text_norm(col)).join(F.broadcast(k), F.col("__c") == F.col("__kc"), "left")
+    j = df.withColumn("__c", S.text_norm(col)).join(k, F.col("__c") == F.col("__kc"), "left")
     return j.withColumn(col, F.when(F.col("__c").isNull(), F.lit(None).cast("string"))
                         .when(F.col("__kc").isNotNull(), F.col("__c")).otherwise(F.lit("other"))) \
         .drop("__c", "__kc")
 
 
 def pivot_share(df: DataFrame, group: str, col: str, order_category: str) -> tuple[DataFrame, list]:
-    """Category share (%) per group as a wide 0-filled matrix, plus the rank of each
-    group by the share of ``order_category``; groups without it are dropped."""
+    """Category share (%) per group as a wide 0-filled matrix, with the group's ``rank`` by
+    falling share of ``order_category`` (ties by group); groups without it are dropped.
+
+    Columns come in falling global frequency (ties by name).  More categories than Spark's
+    pivot limit, or an absent ``order_category``, raise an error."""
     d = df.where(F.col(group).isNotNull() & F.col(col).isNotNull())
     cnt = d.groupBy(group, col).agg(F.count(F.lit(1)).alias("n"))
     cnt = cnt.withColumn("share", 100.0 * F.col("n") / F.sum("n").over(Window.partitionBy(group)))
-    cats = sorted(r[0] for r in cnt.select(col).distinct().collect())   # bounded: categories
+    most = int(df.sparkSession.conf.get("spark.sql.pivotMaxValues"))
+    common = cnt.groupBy(col).agg(F.sum("n").alias("all")).orderBy(F.desc("all"), col).limit(most + 1)
+    cats = [r[0] for r in common.collect()]
+    if len(cats) > most:
+        raise ValueError(f"more than {most} categories in {col}")
+    if order_category not in cats:
+        raise ValueError(f"no rows of category {order_category} in {col}")
     wide = cnt.groupBy(group).pivot(col, cats).agg(F.first("share")).fillna(0.0, subset=cats)
-    wide = wide.where(F.col(order_category) > 0) if order_category in cats else wide.limit(0)
-    return wide, cats
+    first = Window.orderBy(F.desc(order_category), group)   # one row per group
+    return wide.where(F.col(order_category) > 0).withColumn("rank", F.row_number().over(first)), cats

@@ -155,16 +155,18 @@ def q_model_order(spark, sf_dir):
 
 
 @register("mt_metric_long", O.sql(
-    "SELECT model, metric, " + R("value", "value") + " FROM e_report UNPIVOT INCLUDE NULLS (value FOR metric IN "
+    "SELECT model, metric, " + R("value", "value") + " FROM (SELECT * FROM e_report WHERE model <> '" + BASELINE + "') UNPIVOT INCLUDE NULLS (value FOR metric IN "
     "(accuracy, balanced_accuracy, precision, recall, f1, roc_auc))"))
 def q_metric_long(spark, sf_dir):
     return finish(M.metric_long(M.report(long_scores(spark, sf_dir))))
 
 
 @register("mt_confusion_report", O.sql(
-    "SELECT model, printf('### %s | TN=%d FP=%d FN=%d TP=%d | recall=%.3f specificity=%.3f "
-    "precision=%.3f F1=%.3f | accuracy=%.3f balanced_acc=%.3f', model, tn, fp, fn, tp, recall, "
-    "specificity, precision, f1, accuracy, balanced_accuracy) AS line FROM e_report"))
+    "SELECT model, printf('### %s | n=%d base rate=%.3f | TN=%d FP=%d FN=%d TP=%d | recall=%.3f specificity=%.3f "
+    "precision=%.3f F1=%.3f | accuracy=%.3f balanced_acc=%.3f | ROC-AUC=%s PR-AUC=%s', model, tp + fp + fn + tn, "
+    "CAST(tp + fn AS DOUBLE) / (tp + fp + fn + tn), tn, fp, fn, tp, recall, specificity, precision, f1, accuracy, "
+    "balanced_accuracy, coalesce(printf('%.3f', roc_auc), 'n/a'), coalesce(printf('%.3f', pr_auc), 'n/a')) AS line "
+    "FROM e_report"))
 def q_cm_report(spark, sf_dir):
     return M.confusion_lines(M.report(long_scores(spark, sf_dir)))
 

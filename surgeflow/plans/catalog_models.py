@@ -145,8 +145,8 @@ def q_reproduce(spark, sf_dir):
         again = part if again is None else again.unionByName(part)
     names = ["accuracy", "balanced_accuracy", "precision", "recall", "specificity", "f1", "roc_auc", "pr_auc"]
     stored = spark.read.parquet(os.path.join(root, "metrics"))
-    both = M.metric_long(stored, names).withColumnRenamed("value", "stored").join(
-        M.metric_long(M.report(again), names).withColumnRenamed("value", "reproduced"), ["model", "metric"])
+    both = M.metric_long(stored, names, baseline=None).withColumnRenamed("value", "stored").join(
+        M.metric_long(M.report(again), names, baseline=None).withColumnRenamed("value", "reproduced"), ["model", "metric"])
     same = F.coalesce(F.abs(F.col("stored") - F.col("reproduced")) < 1e-9, F.col("stored").eqNullSafe(F.col("reproduced")))
     return finish(both.withColumn("same", same))
 

@@ -5,7 +5,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..config import CORR_COLUMNS, HIST_COLUMNS, SCATTER_PREDICTORS
-from ..functions.semantics import coerce_double, dtype_of, text_norm
+from ..functions.semantics import coerce_double, dtype_of, numeric_columns, text_norm
 from ..operators import coverage as C
 from ..operators import stats as ST
 from ..sources import fixtures as fx
@@ -144,7 +144,9 @@ GROUP BY feature, state_raw HAVING avg(v) IS NOT NULL"""
     "FROM (SELECT feature, stddev_samp(m) AS sd, max(m) - min(m) AS rg, count(*) AS k FROM v_means GROUP BY feature) "
     "WHERE k >= 2) WHERE rank <= 10"))
 def q_variation(spark, sf_dir):
-    return finish(ST.variation_rank(raw_samples(spark, sf_dir), "state_territory", _NUM, 10))
+    raw = raw_samples(spark, sf_dir)
+    columns = numeric_columns(raw, exclude=("site", "record_id"))   # identifiers are no measurements
+    return finish(ST.variation_rank(raw, "state_territory", columns, 10))
 
 
 @register("ag_size_by_group", O.sql(
@@ -252,13 +254,14 @@ def q_share(spark, sf_dir):
 
 
 @register("ag_pivot_share", O.sql(
-    "SELECT state_territory, " + ", ".join(
+    "SELECT state_territory, row_number() OVER (ORDER BY max(CASE WHEN pcr_type = 'ddpcr' THEN share END) DESC, "
+    "state_territory) AS rank, " + ", ".join(
         R(f"COALESCE(max(CASE WHEN pcr_type = '{c}' THEN share END), 0.0)", c.replace("-", "_"))
         for c in ("ddpcr", "other", "qpcr"))
     + " FROM m_share GROUP BY state_territory HAVING max(CASE WHEN pcr_type = 'ddpcr' THEN share END) > 0"))
 def q_pivot(spark, sf_dir):
     wide, cats = ST.pivot_share(_mix(spark, sf_dir), "state_territory", "pcr_type", "ddpcr")
-    return finish(wide.select("state_territory", *[F.col(c).alias(c.replace("-", "_")) for c in cats]))
+    return finish(wide.select("state_territory", "rank", *[F.col(c).alias(c.replace("-", "_")) for c in cats]))
 
 
 # ------------------------------------------------------------------ trends (min-max scaling)

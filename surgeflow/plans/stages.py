@@ -57,6 +57,14 @@ def samples(spark: SparkSession, sf_dir: str, min_sites: int = 2) -> CS.SampleSt
     return _CACHE[k]
 
 
+def matched_panel(weekly: DataFrame, labels: DataFrame, pcfg: PanelConfig) -> tuple[DataFrame, DataFrame]:
+    """The joined panel and its written features; a join without any match raises."""
+    joined = P.join_state_week(weekly, labels, pcfg)
+    feats = cut_lineage(P.build_features(joined, pcfg))
+    P.check_written(feats)
+    return joined, feats
+
+
 def panel(spark: SparkSession, sf_dir: str, min_sites: int = 2,
           lcfg: LabelConfig = LabelConfig(), pcfg: PanelConfig = PanelConfig()) -> Panel:
     k = _key(spark, "panel", sf_dir, min_sites, lcfg, pcfg)
@@ -64,8 +72,7 @@ def panel(spark: SparkSession, sf_dir: str, min_sites: int = 2,
         st = samples(spark, sf_dir, min_sites)
         hraw = fx.hospital_raw(spark, sf_dir)
         labels = cut_lineage(CL.clean_labels(hraw, lcfg))
-        joined = P.join_state_week(st.weekly, labels, pcfg)
-        feats = cut_lineage(P.build_features(joined, pcfg))
+        joined, feats = matched_panel(st.weekly, labels, pcfg)
         ready = P.model_ready(feats)
         era = cut_lineage(P.era_split(ready, pcfg))
         _CACHE[k] = Panel(st, hraw, labels, joined, feats, ready, era)

@@ -57,6 +57,17 @@ def test_zero_match_guard(spark):
     P.assert_matches(P.zero_match_guard(ww, lab))
 
 
+def test_panel_build_raises_without_a_match(spark):
+    import pytest
+    from pyspark.sql import functions as F
+    from surgeflow.plans.stages import matched_panel
+    ww, lab, wk = _panel(spark)
+    with pytest.raises(ValueError):
+        matched_panel(ww, lab.withColumn("week_end", F.date_add("week_end", 1)), PanelConfig())
+    assert matched_panel(ww, lab, PanelConfig())[1].count() == 5
+    assert matched_panel(ww.limit(0), lab, PanelConfig())[1].count() == 0
+
+
 def test_leakage_split(spark):
     ww, lab, wk = _panel(spark)
     f = P.build_features(P.join_state_week(ww, lab)).drop("gap_ok")
