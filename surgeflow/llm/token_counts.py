@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import default_vocabulary, token_ids
+from .common import default_vocabulary, stage, token_ids
 
 #: Lengths per block of the two-level suffix sums.
 BLOCK = 1024
@@ -35,8 +35,9 @@ def length_histogram(docs: DataFrame, vocabulary: str | None = None, extra: int
             yield pa.RecordBatch.from_pydict({"n_tokens": pa.array(lengths.keys(), pa.int64()),
                                               "n_docs": pa.array(lengths.values(), pa.int64())})
 
-    return (docs.select("text").mapInArrow(count, "n_tokens long, n_docs long")
-            .groupBy("n_tokens").agg(F.sum("n_docs").alias("n_docs")))
+    counted = docs.select("text").mapInArrow(count, "n_tokens long, n_docs long")
+    # written once: every later sum reads the few rows instead of encoding again
+    return stage(counted.groupBy("n_tokens").agg(F.sum("n_docs").alias("n_docs")), "length-histogram")
 
 
 def context_table(histogram: DataFrame) -> DataFrame:
