@@ -18,7 +18,7 @@ WORD_BYTES = bytes(
     b | 32 if 0x41 <= b <= 0x5A else b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else 0x20
     for b in range(256))
 #: Entries after which a worker's word cache starts afresh.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 150_000
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -113,7 +113,7 @@ class TokenIds:
     ids that end a word.
     """
 
-    def __init__(self, path: str, cache: int = 1_000_000):
+    def __init__(self, path: str, cache: int = 400_000):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True

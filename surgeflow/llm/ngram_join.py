@@ -142,8 +142,8 @@ def _compare(a: pd.DataFrame, b: pd.DataFrame, threshold: float) -> tuple[np.nda
     (ga, ia, na), (gb, ib, nb) = flat(a), flat(b)
     shared = np.intersect1d(ga, gb) if a is not b else np.unique(ga)
     common = np.zeros((len(na), len(nb)), np.float32)
-    for at in range(0, len(shared), 8192):
-        part = shared[at:at + 8192]
+    for at in range(0, len(shared), 2048):
+        part = shared[at:at + 2048]
         left, right = (np.zeros((n, len(part)), np.float32) for n in (len(na), len(nb)))
         for g, i, m in ((ga, ia, left), (gb, ib, right)):
             column = np.minimum(np.searchsorted(part, g), len(part) - 1)
