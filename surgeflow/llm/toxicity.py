@@ -79,7 +79,7 @@ def ftrl_pass(examples: list[tuple[np.ndarray, float]], z: np.ndarray, n: np.nda
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, s: Settings) -> DataFrame:
-    """(label, features, shard) of at most about ``max_rows`` rows, by hash of the id."""
+    """(label, features) of at most about ``max_rows`` rows, by hash of the id."""
     labels = labels.select(F.col("doc_id").alias("label_id"), F.col("toxic").cast("double").alias("label")).where(
         "label is not null and label_id is not null")
     drawn = F.pmod(F.xxhash64("label_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
@@ -87,17 +87,15 @@ def training_sample(docs: DataFrame, labels: DataFrame, s: Settings) -> DataFram
     labels = labels.groupBy("label_id").agg(F.max("label").alias("label"))
     count = labels.count()
     labels = labels.where(drawn < min(1.0, s.max_rows / max(1, count)))
-    rows = docs.select("doc_id", "text").join(labels, F.col("doc_id") == F.col("label_id"))
+    # the drawn labels are bounded by max_rows, so no text is shuffled for the join
+    rows = docs.select("doc_id", "text").join(F.broadcast(labels), F.col("doc_id") == F.col("label_id"))
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [np.unique(feature_indices(t, s)).astype("<i4").tobytes() for t in as_bytes(batch.column(0))]
-            yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), pa.array(found, pa.binary())],
-                                             ["label", "shard", "features"])
+            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(found, pa.binary())], ["label", "features"])
 
-    shard = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(s.shards))
-    return stage(rows.select("text", "label", shard.alias("shard")).mapInArrow(
-        features, "label double, shard long, features binary"), "toxicity-sample")
+    return stage(rows.select("text", "label").mapInArrow(features, "label double, features binary"), "toxicity-sample")
 
 
 def train(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> tuple[np.ndarray, np.ndarray, float]:
@@ -112,22 +110,22 @@ def train(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> tuple
         at = np.flatnonzero(n)
         state = sample.sparkSession.sparkContext.broadcast((at, z[at], n[at]))
 
-        def learn(part: pd.DataFrame) -> pd.DataFrame:
+        def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             index, z0, n0 = state.value
             z, n = np.zeros(s.size), np.zeros(s.size)
             z[index], n[index] = z0, n0
-            order = np.random.default_rng(epoch).permutation(len(part))
-            part = part.sort_values(["features", "label"]).iloc[order]
-            ftrl_pass([(np.frombuffer(f, "<i4").astype(np.int64), y)
-                       for f, y in zip(part["features"], part["label"])], z, n, s)
-            index = np.flatnonzero(n)
-            return pd.DataFrame({"at": index, "z": z[index], "n": n[index]})
+            examples = [(f, y) for b in batches for y, f in zip(*(c.to_pylist() for c in b.columns))]
+            order = np.random.default_rng(epoch).permutation(len(examples))
+            ftrl_pass([(np.frombuffer(examples[k][0], "<i4").astype(np.int64), examples[k][1]) for k in order], z, n, s)
+            # the bias, and coordinates that L1 may let off zero; the many rare ones stay here
+            index = np.flatnonzero(np.abs(z) > s.l1 / 4)
+            index = np.union1d(index, [s.size - 1])
+            if len(examples):
+                yield pa.RecordBatch.from_arrays([pa.array(index), pa.array(z[index]), pa.array(n[index])], ["at", "z", "n"])
 
         # at most one row per coordinate and shard; the mean of the shards that have the coordinate
-        merged = (sample.groupBy("shard").applyInPandas(learn, "at long, z double, n double")
+        merged = (sample.coalesce(s.shards).mapInArrow(learn, "at long, z double, n double")
                   .groupBy("at").agg(F.avg("z").alias("z"), F.avg("n").alias("n"))
-                  # coordinates that L1 keeps at zero matter only while training goes on
-                  .where((F.abs("z") > s.l1 / 4) | (F.col("at") == s.size - 1))
                   .toPandas())
         z, n = np.zeros(s.size), np.zeros(s.size)
         z[merged["at"]], n[merged["at"]] = merged["z"], merged["n"]
