@@ -188,26 +188,27 @@ def exact_matches(seg: Segment, codes: np.ndarray, windows: np.ndarray, order: n
 
 
 def near_matches(seg: Segment, codes: np.ndarray, windows: np.ndarray, order: np.ndarray, slack: int):
-    """(window number, start) of stretches of ``size + slack`` words with all terms in any order;
-    a stretch starts at one of the terms."""
+    """(window number, start) of stretches of up to ``size + slack`` words of one document with all
+    terms in any order, each once; a stretch starts at one of the terms and ends with its document
+    at the latest."""
     n, size = windows.shape
     span = size + slack
     alive = np.flatnonzero((codes[windows] >= 0).all(axis=1))
     if not len(alive):
         return alive, alive
     owner, at = seg.postings(codes[windows[alive, order[alive, 0]]])
-    owner = np.repeat(alive[owner], span)
+    # a start may lie before several postings of the rarest term
     start = np.repeat(at, span) - np.tile(np.arange(span), len(at))
-    ok = start >= 0
-    owner, start = owner[ok], start[ok]
+    pairs = np.unique((np.repeat(alive[owner], span) * seg.size + start)[start >= 0])
+    owner, start = pairs // seg.size, pairs % seg.size
+    end = np.minimum(start + span, seg.starts[seg.document(start) + 1])
     starts_here = np.zeros(len(owner), bool)
     for step in range(size):
         found = seg.next_posting(codes[windows[owner, order[owner, step]]], start)
-        ok = found < start + span
+        ok = found < end
         starts_here |= found == start
-        owner, start, starts_here = owner[ok], start[ok], starts_here[ok]
-    ok = starts_here & (seg.document(start) == seg.document(np.minimum(start + span, seg.size) - 1))
-    return owner[ok], start[ok]
+        owner, start, end, starts_here = owner[ok], start[ok], end[ok], starts_here[ok]
+    return owner[starts_here], start[starts_here]
 
 
 # ---------------------------------------------------------------------------- search

@@ -222,6 +222,33 @@ def test_proximity_matches(table):
     assert {r.doc_id: r.n_near > 0 for r in got} == {1: True, 2: False, 3: True, 4: False}
 
 
+def brute_proximity(docs, items, slack, window=13):
+    grams = set()
+    for _, text in items:
+        w = words_of((text or "").encode())
+        size = min(window, len(w))
+        grams |= {tuple(w[k:k + size]) for k in range(len(w) - size + 1 if size else 0)}
+    out = []
+    for i, t in docs:
+        w = words_of((t or "").encode())
+        out.append((i, sum(w[k] in g and set(g) <= set(w[k:k + len(g) + slack]) for g in grams for k in range(len(w)))))
+    return out
+
+
+@pytest.mark.parametrize("segment", [7, 1 << 20])
+def test_proximity_ends_with_its_own_document(table, monkeypatch, segment):
+    monkeypatch.setattr(decontam, "SEGMENT_WORDS", segment)
+    rng = np.random.default_rng(4)
+    docs = [(1, "c b a"), (2, "a b c"), (3, ""), (4, "x a"), (5, "b c x"), (6, "x x x x c x b a"), (7, "a a x b c"),
+            (8, None), (9, "b c"), (10, "a b x x c")]
+    docs += [(20 + k, " ".join(rng.choice(list("abcdex"), rng.integers(0, 9)))) for k in range(60)]
+    items = [(1, "a b c"), (2, "d e"), (3, "a a d"), (4, "c b a e d")]
+    index = decontam.build_index(table(docs, DOCS).repartition(1))
+    for slack in (0, 2):
+        got = decontam.matches(index, table(items, "item_id long, text string"), window=4, slack=slack).collect()
+        same([(r.doc_id, r.n_near) for r in got], brute_proximity(docs, items, slack, window=4))
+
+
 # ------------------------------------------------------------------------ n-gram join
 
 def brute_near(docs, threshold=0.8):
