@@ -3,9 +3,11 @@
 Features of a text are the distinct hashed words, word pairs and pairs that skip one word.
 Words and pairs have hash ranges of their own, so the many pairs of a long text cannot
 collide with single words.  FTRL-proximal keeps per-coordinate rates and L1 sparsity.  Training
-runs on ``shards`` tasks in parallel; after each epoch their states are averaged per
-coordinate.  The sample is bounded by ``max_rows`` labelled rows (drawn by hash, so alike for
-every table size) and the model by the hash ranges, so it may be broadcast.
+runs on ``shards`` tasks in parallel, each over the rows of one hash of the id; after each
+epoch the states of all coordinates they touched are averaged per coordinate, and only then
+are those dropped that L1 keeps at zero.  The sample is bounded by ``max_rows`` labelled rows
+(drawn by hash, so alike for every table size) and the model by the hash ranges, so it may be
+broadcast.
 
 Edge cases: null and empty texts have no features and get the score of the bias; labels that
 are null or without document are left out; a table without labels (or with one class) gives
@@ -24,6 +26,9 @@ from pyspark.sql import functions as F
 
 from .common import as_bytes, gram_hashes, stage, word_hashes
 
+#: Coordinates of one packed row.
+RANGE = 1 << 16
+
 
 @dataclass(frozen=True)
 class Settings:
@@ -52,6 +57,16 @@ def feature_indices(text: bytes, s: Settings) -> np.ndarray:
                            (pairs >> np.uint64(64 - s.pair_bits)) + np.uint64(1 << s.word_bits))).astype(np.int64)
 
 
+def pack_features(at: np.ndarray) -> bytes:
+    """Gaps of sorted coordinates, byte plane by byte plane (the high planes compress away)."""
+    return np.diff(at, prepend=0).astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def unpack_features(packed: bytes) -> np.ndarray:
+    planes = np.frombuffer(packed, np.uint8).reshape(4, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view("<i4").ravel(), dtype=np.int64)
+
+
 def values_of(at: np.ndarray, s: Settings) -> np.ndarray:
     """Feature values: 1 for words and the bias, ``pair_value`` for pairs."""
     return np.where((at < 1 << s.word_bits) | (at == s.size - 1), 1.0, s.pair_value)
@@ -79,7 +94,7 @@ def ftrl_pass(examples: list[tuple[np.ndarray, float]], z: np.ndarray, n: np.nda
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, s: Settings) -> DataFrame:
-    """(label, features) of at most about ``max_rows`` rows, by hash of the id."""
+    """(label, features, shard) of at most about ``max_rows`` rows, by hash of the id."""
     labels = labels.select(F.col("doc_id").alias("label_id"), F.col("toxic").cast("double").alias("label")).where(
         "label is not null and label_id is not null")
     drawn = F.pmod(F.xxhash64("label_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
@@ -92,10 +107,42 @@ def training_sample(docs: DataFrame, labels: DataFrame, s: Settings) -> DataFram
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [np.unique(feature_indices(t, s)).astype("<i4").tobytes() for t in as_bytes(batch.column(0))]
-            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(found, pa.binary())], ["label", "features"])
-
-    return stage(rows.select("text", "label").mapInArrow(features, "label double, features binary"), "toxicity-sample")
+            found = [pack_features(np.unique(feature_indices(t, s))) for t in as_bytes(batch.column(0))]
+            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(found, pa.binary()), batch.column(2)],
+                                             ["label", "features", "shard"])
+
+    shard = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(s.shards))
+    return stage(rows.select("text", "label", shard.alias("shard")).mapInArrow(
+        features, "label double, features binary, shard long"), "toxicity-sample")
+
+
+def pack_state(index: np.ndarray, z: np.ndarray, n: np.ndarray) -> Iterator[dict]:
+    """One row per range of ``RANGE`` coordinates: a bit for each that was touched, and the float32
+    pairs (z, n) of those, which repeat where coordinates share their examples."""
+    cuts = np.searchsorted(index, np.arange(0, index[-1] + RANGE + 1, RANGE))
+    for k, (lo, hi) in enumerate(zip(cuts[:-1], cuts[1:])):
+        if hi > lo:
+            touched = np.zeros(RANGE, bool)
+            touched[index[lo:hi] - k * RANGE] = True
+            pairs = np.column_stack((z[lo:hi], n[lo:hi])).astype("<f4").tobytes()
+            yield {"range": k, "touched": np.packbits(touched).tobytes(),
+                   "pairs": pa.compress(pairs, codec="zstd", asbytes=True)}
+
+
+def merge_states(part: pd.DataFrame, s: Settings) -> pd.DataFrame:
+    """The mean of a range over the shards that touched each coordinate; then the bias, and
+    coordinates that L1 may let off zero (the others matter only while an epoch goes on)."""
+    first = int(part["range"].iloc[0]) * RANGE
+    shards, total = np.zeros(RANGE), np.zeros((RANGE, 2))
+    part = part.sort_values(["touched", "pairs"])  # sums in the same order in every run
+    for touched, pairs in zip(part["touched"], part["pairs"]):
+        at = np.flatnonzero(np.unpackbits(np.frombuffer(touched, np.uint8)))
+        shards[at] += 1
+        raw = pa.decompress(pairs, decompressed_size=8 * len(at), codec="zstd", asbytes=True)
+        total[at] += np.frombuffer(raw, "<f4").reshape(-1, 2)
+    z, n = total.T / np.maximum(1, shards)
+    at = np.flatnonzero((shards > 0) & ((np.abs(z) > s.l1 / 4) | (first + np.arange(RANGE) == s.size - 1)))
+    return pd.DataFrame({"at": first + at, "z": z[at], "n": n[at]})
 
 
 def train(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> tuple[np.ndarray, np.ndarray, float]:
@@ -110,22 +157,21 @@ def train(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> tuple
         at = np.flatnonzero(n)
         state = sample.sparkSession.sparkContext.broadcast((at, z[at], n[at]))
 
-        def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def learn(part: pa.Table) -> pa.Table:
             index, z0, n0 = state.value
             z, n = np.zeros(s.size), np.zeros(s.size)
             z[index], n[index] = z0, n0
-            examples = [(f, y) for b in batches for y, f in zip(*(c.to_pylist() for c in b.columns))]
+            # in an order of their own, whatever files and tasks they came from
+            examples = sorted(zip(part["features"].to_pylist(), part["label"].to_pylist()))
             order = np.random.default_rng(epoch).permutation(len(examples))
-            ftrl_pass([(np.frombuffer(examples[k][0], "<i4").astype(np.int64), examples[k][1]) for k in order], z, n, s)
-            # the bias, and coordinates that L1 may let off zero; the many rare ones stay here
-            index = np.flatnonzero(np.abs(z) > s.l1 / 4)
-            index = np.union1d(index, [s.size - 1])
-            if len(examples):
-                yield pa.RecordBatch.from_arrays([pa.array(index), pa.array(z[index]), pa.array(n[index])], ["at", "z", "n"])
-
-        # at most one row per coordinate and shard; the mean of the shards that have the coordinate
-        merged = (sample.coalesce(s.shards).mapInArrow(learn, "at long, z double, n double")
-                  .groupBy("at").agg(F.avg("z").alias("z"), F.avg("n").alias("n"))
+            ftrl_pass([(unpack_features(examples[k][0]), examples[k][1]) for k in order], z, n, s)
+            index = np.flatnonzero(n)
+            return pa.Table.from_pylist(list(pack_state(index, z[index], n[index])), schema=pa.schema([
+                ("range", pa.int32()), ("touched", pa.binary()), ("pairs", pa.binary())]))
+
+        # one group per shard, then one row per range and shard
+        merged = (sample.groupBy("shard").applyInArrow(learn, "range int, touched binary, pairs binary")
+                  .groupBy("range").applyInPandas(lambda part: merge_states(part, s), "at long, z double, n double")
                   .toPandas())
         z, n = np.zeros(s.size), np.zeros(s.size)
         z[merged["at"]], n[merged["at"]] = merged["z"], merged["n"]

@@ -5,6 +5,7 @@ import re
 from collections import defaultdict
 
 import numpy as np
+import pandas as pd
 from llm_cases import SF001, clashing, same, table  # noqa: F401
 from pyspark.sql import functions as F
 
@@ -143,6 +144,58 @@ def test_toxicity_edges(table):
     assert toxicity.toxicity_scores(docs.limit(0), labels, s).count() == 0
 
 
+def plain_training(rows, s):
+    """FTRL on the shards' (features, label) lists, all touched coordinates averaged, then filtered."""
+    z, n = np.zeros(s.size), np.zeros(s.size)
+    for epoch in range(s.epochs):
+        total = np.zeros((3, s.size))
+        for part in rows.values():
+            order = np.random.default_rng(epoch).permutation(len(part))
+            part, z1, n1 = sorted(part), z.copy(), n.copy()
+            toxicity.ftrl_pass([(toxicity.unpack_features(part[k][0]), part[k][1]) for k in order], z1, n1, s)
+            total += (n1 != 0, np.where(n1 != 0, z1, 0), n1)
+        z, n = total[1:] / np.maximum(1, total[0])
+        gone = np.abs(z) <= s.l1 / 4
+        gone[-1] = False
+        z[gone] = n[gone] = 0
+    return toxicity.weights_of(z, n, s)[:-1]
+
+
+def test_training_averages_all_touched_coordinates(spark, table):
+    s = toxicity.Settings(word_bits=12, pair_bits=14)
+    rng = np.random.default_rng(6)
+    docs = []
+    for i in range(240):
+        words = [f"w{k}" for k in rng.integers(0, 60, 12)] + (["awful"] if i % 4 == 0 else [])
+        docs.append((i, " ".join(words + [f"rare{rng.integers(0, 40)}"])))
+    labels = [(i, int(i % 4 == 0)) for i in range(240)]
+    docs.sort(key=lambda d: d[0] % 4 != 0)  # by label
+    frame, marks = table(docs, "doc_id long, text string"), table(labels, "doc_id long, toxic int")
+    shard = {r.doc_id: r.k for r in frame.select(
+        "doc_id", F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(s.shards)).alias("k")).collect()}
+    rows = {}
+    for i, t in docs:
+        at = np.unique(toxicity.feature_indices(t.encode(), s))
+        features = toxicity.pack_features(at)
+        assert (toxicity.unpack_features(features) == at).all()
+        rows.setdefault(shard[i], []).append((features, float(i % 4 == 0)))
+    expected = plain_training(rows, s)
+    for parts in (1, 7):  # the order and files of the table do not matter
+        at, w, _ = toxicity.train(frame.repartition(parts), marks, s)
+        got = np.zeros(s.size - 1)
+        got[at] = w
+        assert np.allclose(got, expected * toxicity.values_of(np.arange(s.size - 1), s), atol=1e-4)
+    assert (expected != 0).any()
+
+
+def test_small_opposing_states_count_in_the_mean():
+    s = toxicity.Settings(word_bits=4, pair_bits=5)
+    packed = [row for z in (-1.8, 0.1, 0.2, 0.3) for row in toxicity.pack_state(
+        np.array([3, 7, s.size - 1]), np.array([z, -1.8, 0.0]), np.ones(3))]
+    merged = toxicity.merge_states(pd.DataFrame(packed), s)
+    assert merged["at"].tolist() == [7, s.size - 1]  # the mean of coordinate 3 is -0.3
+
+
 def test_l1_keeps_the_model_sparse():
     rng, s = np.random.default_rng(0), toxicity.Settings(word_bits=12, pair_bits=12)
     examples = [(np.unique(np.append(rng.integers(10, 4000, 30), 5 if y else 6)), float(y))
