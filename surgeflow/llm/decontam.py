@@ -130,8 +130,8 @@ def phrases_of(rows: list[tuple], window: int = WINDOW) -> Phrases:
 
 
 def item_blocks(items: DataFrame, block_chars: int = BLOCK_CHARS) -> Iterator[list[tuple]]:
-    """The items in blocks of about ``block_chars`` characters."""
-    items = items.select("item_id", "text")
+    """The distinct items in blocks of about ``block_chars`` characters (an id counts once anyway)."""
+    items = items.select("item_id", "text").distinct()
     total = items.agg(F.sum(F.char_length("text"))).first()[0] or 0
     n = 1 + total // block_chars
     for k in range(n):

@@ -215,6 +215,14 @@ def test_decontamination_edges(table, monkeypatch, block):
     assert len(none) == len(EDGE_DOCS) and not any(r.contaminated or r.n_hit for r in none)
 
 
+def test_item_blocks_hold_copies_once(table):
+    rows = [(k, f"text {k} " + "x " * 50) for k in range(40)] + [(7, "copied item " * 10)] * 400 + [(None, None)] * 3
+    items = table(rows, "item_id long, text string")
+    blocks = list(decontam.item_blocks(items, block_chars=600))
+    assert max(sum(len(t or "") for _, t in b) for b in blocks) < 5 * 600
+    same([r for b in blocks for r in b], list(set(rows)))
+
+
 def test_proximity_matches(table):
     docs = table([(1, "a x b y c"), (2, "a x x x x b c"), (3, "c b a"), (4, "a b d")], DOCS)
     items = table([(1, "a b c")], "item_id long, text string")
