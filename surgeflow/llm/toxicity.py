@@ -11,7 +11,9 @@ broadcast.
 
 Edge cases: null and empty texts have no features and get the score of the bias; labels that
 are null or without document are left out; a table without labels (or with one class) gives
-the prior as every score; repeated rows are scored alike; ids may be null.
+the prior as every score; repeated rows are scored alike and learned from once; if the drawn
+ids have more different texts than ``max_rows`` allows, those are drawn by hash too; ids may
+be null.
 """
 from __future__ import annotations
 
@@ -94,7 +96,8 @@ def ftrl_pass(examples: list[tuple[np.ndarray, float]], z: np.ndarray, n: np.nda
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, s: Settings) -> DataFrame:
-    """(label, features, shard) of at most about ``max_rows`` rows, by hash of the id."""
+    """(label, features, shard, drawn) of at most about ``max_rows`` ids, by hash of the id; one row
+    per id and text, with a number in [0, 1) by hash of both."""
     labels = labels.select(F.col("doc_id").alias("label_id"), F.col("toxic").cast("double").alias("label")).where(
         "label is not null and label_id is not null")
     drawn = F.pmod(F.xxhash64("label_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
@@ -104,16 +107,26 @@ def training_sample(docs: DataFrame, labels: DataFrame, s: Settings) -> DataFram
     labels = labels.where(drawn < min(1.0, s.max_rows / max(1, count)))
     # the drawn labels are bounded by max_rows, so no text is shuffled for the join
     rows = docs.select("doc_id", "text").join(F.broadcast(labels), F.col("doc_id") == F.col("label_id"))
+    # copies collapse map-side, so a repeated row weighs once and no task holds its copies
+    rows = rows.select("doc_id", "text", "label").distinct()
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [pack_features(np.unique(feature_indices(t, s))) for t in as_bytes(batch.column(0))]
-            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(found, pa.binary()), batch.column(2)],
-                                             ["label", "features", "shard"])
+            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(found, pa.binary()), *batch.columns[2:]],
+                                             ["label", "features", "shard", "drawn"])
 
     shard = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(s.shards))
-    return stage(rows.select("text", "label", shard.alias("shard")).mapInArrow(
-        features, "label double, features binary, shard long"), "toxicity-sample")
+    drawn = F.pmod(F.xxhash64("text", "doc_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    return stage(rows.select("text", "label", shard.alias("shard"), drawn.alias("drawn")).mapInArrow(
+        features, "label double, features binary, shard long, drawn double"), "toxicity-sample")
+
+
+def bounded(sample: DataFrame, s: Settings) -> DataFrame:
+    """At most about ``max_rows`` rows, also where ids have many different texts."""
+    rows = sample.count()
+    # the draw of ids is only near max_rows; that much more is left alone
+    return sample.where(F.col("drawn") < s.max_rows / rows) if rows > 1.1 * s.max_rows else sample
 
 
 def pack_state(index: np.ndarray, z: np.ndarray, n: np.ndarray) -> Iterator[dict]:
@@ -147,7 +160,7 @@ def merge_states(part: pd.DataFrame, s: Settings) -> pd.DataFrame:
 
 def train(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> tuple[np.ndarray, np.ndarray, float]:
     """(coordinates, weights times feature values, bias) of the non-zero weights."""
-    sample = training_sample(docs, labels, s)
+    sample = bounded(training_sample(docs, labels, s), s)
     rows, positives = sample.agg(F.count(F.lit(1)), F.sum("label")).first()
     if not rows or not positives or positives == rows:
         prior = ((positives or 0.0) + 0.5) / (rows + 1.0)

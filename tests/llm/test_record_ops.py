@@ -196,6 +196,17 @@ def test_small_opposing_states_count_in_the_mean():
     assert merged["at"].tolist() == [7, s.size - 1]  # the mean of coordinate 3 is -0.3
 
 
+def test_training_sample_holds_a_repeated_row_once(table):
+    s = toxicity.Settings(word_bits=10, pair_bits=12, max_rows=30)
+    docs = [(1, "same text")] * 200 + [(1, "another text"), (2, "same text"), (3, None), (3, None)]
+    labels = table([(1, 1), (2, 0), (3, 0)], "doc_id long, toxic int")
+    sample = toxicity.training_sample(table(docs, "doc_id long, text string"), labels, s)
+    assert sorted(r.label for r in sample.collect()) == [0, 0, 1, 1]
+    assert toxicity.bounded(sample, s).count() == 4
+    many = table([(1, f"text {i}") for i in range(2000)], "doc_id long, text string")
+    assert 10 < toxicity.bounded(toxicity.training_sample(many, labels, s), s).count() < 60
+
+
 def test_l1_keeps_the_model_sparse():
     rng, s = np.random.default_rng(0), toxicity.Settings(word_bits=12, pair_bits=12)
     examples = [(np.unique(np.append(rng.integers(10, 4000, 30), 5 if y else 6)), float(y))
