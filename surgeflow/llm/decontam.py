@@ -261,7 +261,8 @@ def _segment_hits(number: int, seg: Segment, known: Phrases, orders: dict, slack
 def matches(index: DataFrame, items: DataFrame, window: int = WINDOW, slack: int | None = None,
             block_chars: int = BLOCK_CHARS) -> DataFrame:
     """One row per document: ``doc_id``, ``n_words``, ``n_hit`` (words inside exact matches),
-    ``items`` (ids, sorted as strings) and, with ``slack``, ``n_near`` proximity matches."""
+    ``items`` (ids, sorted as strings) and, with ``slack``, ``n_near`` proximity matches (null
+    without: they were not searched)."""
     hits = None
     for rows in item_blocks(items, block_chars):
         block = _search_block(index, phrases_of(rows, window), slack)
@@ -286,7 +287,7 @@ def matches(index: DataFrame, items: DataFrame, window: int = WINDOW, slack: int
     base = _documents(index).join(hits, ["segment", "doc"], "left")
     none = F.array().cast("array<string>")
     return base.select("doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
-                       F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"),
+                       F.when(F.lit(slack is not None), F.coalesce("n_near", F.lit(0))).cast("long").alias("n_near"),
                        F.coalesce("items", none).alias("items"))
 
 

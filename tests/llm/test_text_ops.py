@@ -223,6 +223,13 @@ def test_item_blocks_hold_copies_once(table):
     same([r for b in blocks for r in b], list(set(rows)))
 
 
+def test_no_proximity_count_without_a_search(table):
+    docs, items = table([(1, "a b c"), (2, "x")], DOCS), table([(1, "a b c")], "item_id long, text string")
+    assert [r.n_near for r in decontam.decontaminate(docs, items).collect()] == [None, None]
+    got = decontam.matches(decontam.build_index(docs), items, slack=0).collect()
+    assert {r.doc_id: r.n_near for r in got} == {1: 1, 2: 0}
+
+
 def test_proximity_matches(table):
     docs = table([(1, "a x b y c"), (2, "a x x x x b c"), (3, "c b a"), (4, "a b d")], DOCS)
     items = table([(1, "a b c")], "item_id long, text string")
