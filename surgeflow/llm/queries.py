@@ -6,7 +6,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, cuckoo, decontam, line_runs, ngram_join, packing, suffix_index, token_counts, toxicity, warc
+from . import (chat, cuckoo, decontam, html_consensus, line_runs, ngram_join, packing, periodic, suffix_index,
+               token_counts, toxicity, warc, whitening)
 from .common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -133,3 +134,24 @@ FROM p JOIN m USING (conv_id) JOIN c USING (conv_id) GROUP BY p.conv_id, (pos -
 @register
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_index.remove_repeats(read_table(spark, sf_dir, "documents")).drop("kept")
+
+
+@register
+def op11_html_consensus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_consensus.main_text(read_table(spark, sf_dir, "pages"))
+
+
+@register
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.periodic_runs(periodic.with_planted_period(read_table(spark, sf_dir, "documents")))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    found = found.withColumn("best", periodic.best_run(F.col("runs")))
+    return found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+                        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+                        F.sha2(F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit("\n"))), ""), 256)
+                        .alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"), "collapsed")
+
+
+@register
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened_components(read_table(spark, sf_dir, "embeddings"))

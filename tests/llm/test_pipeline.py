@@ -12,7 +12,7 @@ from surgeflow.llm.common import read_table, stage
 
 def test_queries_are_registered():
     found = entry.queries()
-    assert {f"op{n}" for n in range(1, 11)} == {q.split("_")[0] for q in found if q.startswith("op")}
+    assert {f"op{n}" for n in range(1, 14)} == {q.split("_")[0] for q in found if q.startswith("op")}
     assert "pipeline" in found and set(queries.ORACLE) <= set(found)
 
 
