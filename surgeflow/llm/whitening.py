@@ -4,8 +4,9 @@ Vectors become integer vectors x = floor(scale * c) + shift and are written once
 them, their covariance V is never formed: every pass over the written table applies it to a
 block Q of at most ``components + guard`` columns, as the sum over all rows of
 (x - mean) (x - mean)^T Q / n, centred before the product.  A cycle runs a Chebyshev recurrence
-of ``degree`` such passes, which damps the spectrum below the block's least Ritz value, then
-QR and Rayleigh-Ritz.  Cycles end when the residual |V u - e u| of every wanted component is
+of ``degree`` such passes, which damps the spectrum between a lower bound (Lanczos steps of one
+more vector in the first cycle's passes) and the block's least Ritz value, then QR and
+Rayleigh-Ritz.  Cycles end when the residual |V u - e u| of every wanted component is
 certified to be at the level of double rounding.
 
 A task returns one partial sum per entry of the block, added up by a grouped sum, so what
@@ -108,21 +109,54 @@ def summed(vectors: DataFrame, base: np.ndarray, rest: np.ndarray, n: int, block
     return out
 
 
-def chebyshev(apply: Callable[[np.ndarray], np.ndarray], x: np.ndarray, vx: np.ndarray, top: float, cut: float,
-              degree: int) -> np.ndarray:
-    """Filtered block: the recurrence of ``degree`` that stays small on [0, ``cut``] and grows above,
-    scaled at ``top``; ``vx`` is the product of the operator with ``x``."""
-    half = cut / 2
-    scale = half / (top - half)
+def chebyshev(apply: Callable[[np.ndarray], np.ndarray], x: np.ndarray, vx: np.ndarray, top: float, low: float,
+              cut: float, degree: int) -> np.ndarray:
+    """Filtered block: the recurrence of ``degree`` that stays small on [``low``, ``cut``] and grows
+    above, scaled at ``top``; ``vx`` is the product of the operator with ``x``."""
+    half, centre = (cut - low) / 2, (cut + low) / 2
+    scale = half / (top - centre)
     first = scale
-    y = (vx - half * x) * (scale / half)
+    y = (vx - centre * x) * (scale / half)
     for _ in range(degree - 1):
         after = 1 / (2 / first - scale)
-        x, y = y, (apply(y) - half * y) * (2 * after / half) - scale * after * x
+        x, y = y, (apply(y) - centre * y) * (2 * after / half) - scale * after * x
         scale = after
     return y
 
 
+class LeastValue:
+    """Lanczos steps of one vector that rides along with a block's passes, for a lower bound of
+    the spectrum.  A bound that is a little too high costs passes, not correctness."""
+
+    def __init__(self, size: int, steps: int):
+        start = np.random.default_rng(1).standard_normal(size)
+        self.basis, self.steps = [start / np.linalg.norm(start)], min(steps, size)
+        self.diagonal: list[float] = []
+        self.beside: list[float] = []
+
+    def open(self) -> bool:
+        return len(self.diagonal) < self.steps
+
+    def step(self, product: np.ndarray) -> None:
+        own = np.array(self.basis)
+        self.diagonal.append(float(product @ own[-1]))
+        for _ in range(2):
+            product = product - own.T @ (own @ product)
+        norm = float(np.linalg.norm(product))
+        self.beside.append(norm)
+        if norm <= 1e-12 * max(self.diagonal):
+            self.steps = len(self.diagonal)
+        else:
+            self.basis.append(product / norm)
+
+    def bound(self) -> float:
+        if not self.diagonal:
+            return 0.0
+        off = self.beside[:len(self.diagonal) - 1]
+        values, turn = np.linalg.eigh(np.diag(self.diagonal) + np.diag(off, 1) + np.diag(off, -1))
+        return max(0.0, float(values[0] - self.beside[-1] * abs(turn[-1, 0])))
+
+
 def fit(vectors: DataFrame, components: int = COMPONENTS, guard: int = GUARD, degree: int = DEGREE,
         cycles: int = CYCLES) -> Whitening | None:
     """Fit over all rows of ``integer_vectors`` of one size; None without rows."""
@@ -134,12 +168,19 @@ def fit(vectors: DataFrame, components: int = COMPONENTS, guard: int = GUARD, de
     sums = dimension_sums(vectors, size)
     base, rest = (np.array(v, np.int64) for v in zip(*(divmod(s, n) for s in sums)))
     trace = summed(vectors, base, rest, n, base[:0], lambda c, _: np.einsum("ij,ij->j", c, c)[None], (1, size)).sum() / n
-    passes = 0
+    passes, least = 0, LeastValue(size, degree)
 
     def apply(q: np.ndarray) -> np.ndarray:
         nonlocal passes
         passes += 1
-        return summed(vectors, base, rest, n, q, lambda c, q: c.T @ (c @ q), q.shape) / n
+        ride = least.open()
+        if ride:
+            q = np.column_stack((q, least.basis[-1]))
+        vq = summed(vectors, base, rest, n, q, lambda c, q: c.T @ (c @ q), q.shape) / n
+        if ride:
+            least.step(vq[:, -1])
+            vq = vq[:, :-1]
+        return vq
 
     wanted, width = min(components, size), min(components + guard, size)
     q = np.linalg.qr(np.random.default_rng(0).standard_normal((size, width)))[0]
@@ -159,7 +200,9 @@ def fit(vectors: DataFrame, components: int = COMPONENTS, guard: int = GUARD, de
             break
         before = residual
         cut = min(max(values[-1], 1e-6 * top), 0.999 * top)
-        q = np.linalg.qr(chebyshev(apply, q, vq, top, cut, degree))[0]
+        # the rider's bound holds once it has made its steps, which the first cycle's passes are
+        low = 0.0 if least.open() else min(least.bound(), 0.9 * cut)
+        q = np.linalg.qr(chebyshev(apply, q, vq, top, low, cut, degree))[0]
     else:
         raise RuntimeError(f"components not certified after {cycles} cycles (residual {residual:.1e})")
     values = values[:wanted]
