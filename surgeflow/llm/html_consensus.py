@@ -99,8 +99,9 @@ def votes(pages: DataFrame) -> DataFrame:
 
 def consensus(cast: DataFrame, least: int = LEAST) -> DataFrame:
     """(host, paths): the standing paths of every host, of greatest value first."""
-    per_path = cast.groupBy("host", "path").agg(F.sum("vote").alias("votes"), F.count(F.lit(1)).alias("pages"),
-                                                F.min("tail").alias("tail"))
+    # written, as it is read twice and the pages should be scanned once
+    per_path = stage(cast.groupBy("host", "path").agg(F.sum("vote").alias("votes"), F.count(F.lit(1)).alias("pages"),
+                                                      F.min("tail").alias("tail")), "host-votes")
     value = F.col("votes") / (F.col("pages") + 1)
     # the root path is on every page with text, so its pages are the host's
     host_pages = per_path.where("path = 0").select("host", F.col("pages").alias("host_pages"))

@@ -133,7 +133,9 @@ FROM p JOIN m USING (conv_id) JOIN c USING (conv_id) GROUP BY p.conv_id, (pos -
 
 @register
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix_index.remove_repeats(read_table(spark, sf_dir, "documents")).drop("kept")
+    found = suffix_index.remove_repeats(read_table(spark, sf_dir, "documents"))
+    # bytes of a character that is kept in part show as the replacement sign; the hash is of the bytes
+    return found.withColumn("text", F.make_valid_utf8(F.col("kept").cast("string"))).drop("kept")
 
 
 @register

@@ -13,6 +13,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -30,7 +31,8 @@ def length_histogram(docs: DataFrame, vocabulary: str | None = None, extra: int
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lengths: Counter[int] = Counter()
         for batch in batches:
-            lengths.update(len(ids) // 4 + extra for ids in token_ids(path).of(batch.column(0).to_pylist()))
+            for _, _, bounds in token_ids(path).encode(batch.column(0)):
+                lengths.update((np.diff(bounds) + extra).tolist())
         if lengths:
             yield pa.RecordBatch.from_pydict({"n_tokens": pa.array(lengths.keys(), pa.int64()),
                                               "n_docs": pa.array(lengths.values(), pa.int64())})

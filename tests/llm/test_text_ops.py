@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -8,7 +9,7 @@ import pytest
 from llm_cases import BLANK, EDGE_DOCS, LONG, SF0001, same, table  # noqa: F401
 
 from surgeflow.llm import cuckoo, decontam, line_runs, ngram_join, packing, suffix_index, token_counts
-from surgeflow.llm.common import default_vocabulary, read_table, token_ids, words_of
+from surgeflow.llm.common import TokenIds, default_vocabulary, read_table, token_ids, words_of
 
 DOCS = "doc_id long, text string"
 
@@ -16,7 +17,6 @@ DOCS = "doc_id long, text string"
 def plain_ids(text):
     from tokenizers import Tokenizer
     t = Tokenizer.from_file(default_vocabulary())
-    t.encode_special_tokens = True
     return t.encode(text or "", add_special_tokens=False).ids
 
 
@@ -26,6 +26,38 @@ def test_cached_tokens_equal_plain_ones(spark):
     assert [np.frombuffer(g, "<u4").tolist() for g in got] == [plain_ids(t) for t in texts]
 
 
+#: Letters that change under lower-casing or composition, marks, blanks, signs, markers.
+ODD = [*"abcABCJHTWYK'.,;!-*$%#019 \t\n\x0b\x0c\x1c\x85\xa0\u2003\u200b\xadéÉİıſßẞΣσςÅåǰẖẗªʰﬁﬀ中。한कｶ",
+       "\u0301", "\u0307", "\u030c", "\u0331", "\u0308", "\u030a", "\u0958", "\u1112", "\u1161", "\u11ab", "\u0661", "\u2167",
+       "\u212a", "\u212b", "\ufeff", "\ufffd", "\U0001f600", "\U00010400", "\U0001e900", "'s", "'LL", "'re",
+       "<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>"]
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_ids_of_odd_texts(seed):
+    from tokenizers import Tokenizer
+    rng = random.Random(seed)
+    plain, cached = Tokenizer.from_file(default_vocabulary()), TokenIds(default_vocabulary(), cache=3000)
+    for _ in range(50):
+        texts = ["".join(rng.choice(ODD) for _ in range(rng.randint(0, 12))) for _ in range(700)]
+        texts += ["".join(chr(rng.choice([rng.randrange(32, 0x530), rng.randrange(32, 0xd800), rng.randrange(0xe000, 0x2ffff)]))
+                          for _ in range(rng.randint(1, 6))) + rng.choice(["", ".", ",", " a"]) for _ in range(150)]
+        texts += [" ".join("".join(rng.choice("abcdefghijABC',.") for _ in range(rng.randint(1, 8))) for _ in range(6))
+                  for _ in range(150)]
+        expected = plain.encode_batch(texts, add_special_tokens=False)
+        for text, got, right in zip(texts, cached.of(texts), expected):
+            assert np.frombuffer(got, "<u4").tolist() == right.ids, ascii(text)
+    assert len(cached.number) < 10_000
+
+
+def test_another_vocabulary_is_applied_to_whole_texts():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    path, texts = public_tokenizers.path("byte_bpe_50k.json"), ["two  blanks\n and one ", "", "İ. x"]
+    expected = [e.ids for e in Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)]
+    assert [np.frombuffer(g, "<u4").tolist() for g in TokenIds(path).of(texts)] == expected
+
+
 # ------------------------------------------------------------------------ exact dedup
 
 def brute_exact(rows):
