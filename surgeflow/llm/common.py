@@ -61,6 +61,7 @@ def map_batches(df: DataFrame, fn, schema: str | T.StructType) -> DataFrame:
         for batch in batches:
             if batch.num_rows:
                 yield fn(batch)
+        forget_words()
     return df.mapInArrow(run, schema)
 
 
@@ -78,6 +79,11 @@ def words_of(text: bytes) -> list[bytes]:
     return text.translate(WORD_BYTES).split()
 
 
+def forget_words() -> None:
+    """Empty the worker's word cache at the end of a task; the worker lives on for later stages."""
+    _HASHES.clear()
+
+
 def word_hashes(text: bytes) -> np.ndarray:
     """64-bit hashes of the words of ``text`` in order."""
     words = words_of(text)

@@ -158,6 +158,7 @@ def term_frequencies(index: DataFrame, phrases: Phrases) -> np.ndarray:
     freq = np.zeros(len(phrases.terms), np.int64)
     for term, n in got.collect():
         freq[term] = n
+    shared.destroy()
     return freq
 
 
@@ -217,6 +218,8 @@ HITS = "segment long, doc long, n_near long, spans binary, items array<string>"
 
 
 def _search_block(index: DataFrame, phrases: Phrases, slack: int | None) -> DataFrame:
+    """Hits of one block of items, written before the next block is read, so that one block at
+    a time is on the driver and in the workers."""
     freq = term_frequencies(index, phrases)
     orders = {k: _rarest_first(w, freq) for k, w in phrases.windows.items()}
     shared = index.sparkSession.sparkContext.broadcast((phrases, orders))
@@ -230,7 +233,9 @@ def _search_block(index: DataFrame, phrases: Phrases, slack: int | None) -> Data
                         ("segment", pa.int64()), ("doc", pa.int64()), ("n_near", pa.int64()),
                         ("spans", pa.binary()), ("items", pa.list_(pa.string()))]))
 
-    return index.select("segment", "terms", "counts", "deltas", "starts").mapInArrow(search, HITS)
+    hits = stage(index.select("segment", "terms", "counts", "deltas", "starts").mapInArrow(search, HITS), "block-hits")
+    shared.destroy()
+    return hits
 
 
 def _segment_hits(number: int, seg: Segment, known: Phrases, orders: dict, slack: int | None) -> Iterator[dict]:

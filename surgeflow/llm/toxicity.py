@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, gram_hashes, stage, word_hashes
+from .common import as_bytes, forget_words, gram_hashes, stage, word_hashes
 
 #: Coordinates of one packed row.
 RANGE = 1 << 16
@@ -115,6 +115,7 @@ def training_sample(docs: DataFrame, labels: DataFrame, s: Settings) -> DataFram
             found = [pack_features(np.unique(feature_indices(t, s))) for t in as_bytes(batch.column(0))]
             yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(found, pa.binary()), *batch.columns[2:]],
                                              ["label", "features", "shard", "drawn"])
+        forget_words()
 
     shard = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(s.shards))
     drawn = F.pmod(F.xxhash64("text", "doc_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
@@ -186,6 +187,7 @@ def train(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> tuple
         merged = (sample.groupBy("shard").applyInArrow(learn, "range int, touched binary, pairs binary")
                   .groupBy("range").applyInPandas(lambda part: merge_states(part, s), "at long, z double, n double")
                   .toPandas())
+        state.destroy()
         z, n = np.zeros(s.size), np.zeros(s.size)
         z[merged["at"]], n[merged["at"]] = merged["z"], merged["n"]
     w = weights_of(z, n, s)
@@ -212,6 +214,7 @@ def score_column(model: tuple[np.ndarray, np.ndarray, float], text: Column, spar
 
         for batch in batches:
             yield pd.Series([one(t) for t in batch], dtype="float64")
+        forget_words()
 
     return score(text)
 
