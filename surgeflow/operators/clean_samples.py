@@ -8,7 +8,7 @@ site or state-week is ever collected whole into one task.
 """
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -17,7 +17,7 @@ from ..config import (CleanSamplesConfig, LIQUID_UNIT, LOG_UNIT_PREFIX, OUTLIER_
                       ROBUST_Z_CONST)
 from ..functions import semantics as S
 from ..functions.calendar import week_end_saturday
-from ..session import cut_lineage
+from ..session import cut_lineage, write_observed
 from .quantiles import group_quantiles
 
 STEP_REASONS = (
@@ -43,6 +43,7 @@ class SampleStages:
     weekly_all: DataFrame
     weekly: DataFrame
     med_lod: DataFrame    # one row: med_lod
+    weekly_counts: dict = field(default_factory=dict)  # observed when weekly_all was written
 
 
 def _not_missing(df: DataFrame, name: str) -> Column:
@@ -143,18 +144,29 @@ def weekly_state(scored: DataFrame, exact: bool = True) -> DataFrame:
         "state_territory": S.text_norm("state_raw"),
         "week_end": week_end_saturday("sample_collect_date"),
     }).where(F.col("state_territory").isNotNull() & F.col("week_end").isNotNull())
-    agg = base.groupBy(*keys).agg(
-        F.avg("log10_conc").alias("log10_conc_mean"),
-        F.avg("conc_site_z").alias("conc_site_z_mean"),
-        F.count("record_id").alias("n_samples"),
-        F.countDistinct("site").alias("n_sites"),
-        F.avg("nondetect_flag").alias("pct_nondetect"),
-        F.coalesce(F.sum("population_served"), F.lit(0)).cast("long").alias("pop_served"),
+    # per site first: sites and their populations are then counted once without expanding rows
+    site = base.groupBy(*keys, "site").agg(
+        F.sum("log10_conc").alias("x"), F.count("log10_conc").alias("x_n"),
+        F.sum("conc_site_z").alias("z"), F.count("conc_site_z").alias("z_n"),
+        F.sum("nondetect_flag").alias("d"), F.count("nondetect_flag").alias("d_n"),
+        F.count("record_id").alias("n"), F.sum("population_served").alias("pop"),
+        F.max("population_served").alias("site_pop"))
+    named = F.col("site").isNotNull()
+    agg = site.groupBy(*keys).agg(
+        (F.sum("x") / F.nullif(F.sum("x_n"), F.lit(0))).alias("log10_conc_mean"),
+        (F.sum("z") / F.nullif(F.sum("z_n"), F.lit(0))).alias("conc_site_z_mean"),
+        F.sum("n").alias("n_samples"),
+        F.count("site").alias("n_sites"),
+        (F.sum("d") / F.nullif(F.sum("d_n"), F.lit(0))).alias("pct_nondetect"),
+        F.coalesce(F.sum("pop"), F.lit(0)).cast("long").alias("pop_served"),
+        # each named site's population once, at its largest in the week
+        F.coalesce(F.sum(F.when(named, F.col("site_pop"))), F.lit(0)).cast("long").alias("pop_served_distinct"),
     )
     med = group_quantiles(base, keys, "log10_conc", [0.5], ["log10_conc_median"], exact=exact)
     out = agg.join(med, keys, "left")
     return out.select("state_territory", "week_end", "log10_conc_mean", "log10_conc_median",
-                      "conc_site_z_mean", "n_samples", "n_sites", "pct_nondetect", "pop_served")
+                      "conc_site_z_mean", "n_samples", "n_sites", "pct_nondetect", "pop_served",
+                      "pop_served_distinct")
 
 
 def clean_samples(raw: DataFrame, cfg: CleanSamplesConfig = CleanSamplesConfig()) -> SampleStages:
@@ -209,3 +221,15 @@ def sample_side_counts(st: SampleStages) -> DataFrame:
     return one.select("log_unit_rows", "nondetects",
                       (F.col("__n_f") - F.col("__n_d")).alias("duplicates_removed"),
                       "outliers_flagged")
+
+
+WEEKLY_COUNTS = {"n_weeks": lambda _: F.count(F.lit(1)),
+                 "n_support": lambda min_sites: F.count_if(F.col("n_sites") >= min_sites)}
+
+
+def write_weekly(st: SampleStages, min_sites: int) -> dict:
+    """Write the weekly table of ``st`` and return its observed counts."""
+    counts = [make(min_sites).alias(k) for k, make in WEEKLY_COUNTS.items()]
+    st.weekly_all, seen = write_observed(st.weekly_all, "weekly", *counts)
+    st.weekly = st.weekly_all.where(F.col("n_sites") >= min_sites)
+    return {k: int(seen.get(k) or 0) for k in WEEKLY_COUNTS}

@@ -8,15 +8,17 @@ quantile over the unpivoted features, not one job per column.
 from __future__ import annotations
 
 import os
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
-from typing import Sequence
+from typing import Callable, Sequence, TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (GBTClassifier, LogisticRegression,
                                        RandomForestClassifier)
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
@@ -25,6 +27,9 @@ from .quantiles import group_quantiles
 
 LABEL = "y_surge_next_week"
 SENTINEL = -1.0e9
+#: Training rows per task.
+ROWS_PER_TASK = 50_000
+T = TypeVar("T")
 
 
 def join_features_targets(features: DataFrame, targets: DataFrame, how: str = "inner",
@@ -133,26 +138,62 @@ def fit_all(train: DataFrame, cols: Sequence[str], rf_trees: int = 200, rf_depth
     med, stats, w, majority, n = pp.med, pp.scale, pp.weights, pp.majority, pp.n
     imp = apply_impute(train, med, cols)
     prepared = apply_scale(sentinel_columns(imp, cols), stats, cols).join(F.broadcast(w), "label")
-    # iterative learners re-read their input many times: cut the lineage once
-    prepared = cut_lineage(prepared)
+    # iterative learners re-read their input in every job: cut the lineage once, in tasks of a
+    # size that is worth a job
+    prepared = cut_lineage(prepared.coalesce(max(1, -(-n // ROWS_PER_TASK))))
     lr = Pipeline(stages=[
         VectorAssembler(inputCols=[f"s_{c}" for c in cols], outputCol="v_lr"),
         LogisticRegression(featuresCol="v_lr", labelCol="label", weightCol="w", maxIter=1000,
                            regParam=1.0 / n, elasticNetParam=0.0, standardization=False,
                            predictionCol="lr_pred", probabilityCol="lr_prob",
-                           rawPredictionCol="lr_raw")]).fit(prepared)
+                           rawPredictionCol="lr_raw")])
     rf = Pipeline(stages=[
         VectorAssembler(inputCols=[f"i_{c}" for c in cols], outputCol="v_rf"),
         RandomForestClassifier(featuresCol="v_rf", labelCol="label", weightCol="w",
                                numTrees=rf_trees, maxDepth=rf_depth, seed=seed,
                                featureSubsetStrategy="sqrt", predictionCol="rf_pred",
-                               probabilityCol="rf_prob", rawPredictionCol="rf_raw")]).fit(prepared)
+                               probabilityCol="rf_prob", rawPredictionCol="rf_raw")])
     gbt = Pipeline(stages=[
         VectorAssembler(inputCols=gbt_inputs(cols), outputCol="v_gbt"),
         GBTClassifier(featuresCol="v_gbt", labelCol="label", maxIter=gbt_iter, stepSize=0.05,
                       maxDepth=4, seed=seed, predictionCol="gbt_pred")
-        .setProbabilityCol("gbt_prob").setRawPredictionCol("gbt_raw")]).fit(prepared)
-    return FittedModels(cols, med, stats, w, majority, lr, rf, gbt)
+        .setProbabilityCol("gbt_prob").setRawPredictionCol("gbt_raw")])
+    # the learners read the same written rows and do not wait for each other
+    fitted = concurrently(train.sparkSession, [lambda p=p: p.fit(prepared) for p in (lr, rf, gbt)])
+    return FittedModels(cols, med, stats, w, majority, *fitted)
+
+
+def concurrently(spark: SparkSession, tasks: Sequence[Callable[[], T]]) -> list[T]:
+    """Results of ``tasks``, run at the same time as Spark jobs of one session.
+
+    The threads inherit the caller's job group and properties, so cancelling the caller's group
+    ends them all; each has a scheduler pool of its own, which a FAIR scheduler deals evenly.
+    """
+    def pooled(number: int, task: Callable[[], T]) -> Callable[[], T]:
+        def run() -> T:
+            spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"surgeflow-{number}")
+            return task()
+        return inheritable_thread_target(spark)(run)
+
+    targets = [pooled(k, t) for k, t in enumerate(tasks)]
+    with ThreadPoolExecutor(max(1, len(targets))) as threads:
+        return [f.result() for f in [threads.submit(t) for t in targets]]
+
+
+def cross_validate(folds: Sequence[tuple[int, DataFrame, DataFrame]], cols: Sequence[str], **fit) -> DataFrame:
+    """``long_predictions`` of every model of every (fold, train, test), with ``fold``.
+
+    The folds are fitted at the same time; each one's predictions are written, so the metrics
+    of all folds are one pass over rows that no model is asked for twice."""
+    def one(fold: int, train: DataFrame, test: DataFrame) -> DataFrame:
+        scored = long_predictions(score_batch(fit_all(train, cols, **fit), test))
+        return cut_lineage(scored.withColumn("fold", F.lit(fold)))
+
+    parts = concurrently(folds[0][1].sparkSession, [lambda f=f: one(*f) for f in folds])
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
 
 
 MODEL_NAMES = {"lr": "Logistic Regression", "rf": "Random Forest", "gbt": "Gradient-boosted trees"}

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..config import PanelConfig
 from ..functions import semantics as S
+from ..session import write_observed
 from .quantiles import group_quantiles
 
 PANEL_STEPS = (
@@ -41,11 +42,25 @@ def zero_match_guard(ww: DataFrame, labels: DataFrame, cfg: PanelConfig = PanelC
                  F.count_if(F.col("__l").isNull()).alias("right_only_keys"))
 
 
-def check_written(features: DataFrame) -> None:
-    """Raise if a written panel has rows but none with admissions (reads one column)."""
-    seen = features.agg(F.count(F.lit(1)).alias("n"), F.count("admits").alias("matched")).first()
-    if seen["n"] and not seen["matched"]:
+#: Aggregates observed while the panel is written.
+PANEL_COUNTS = {
+    "rows": lambda: F.count(F.lit(1)),
+    "matched": lambda: F.count("admits"),
+    "gap_voided": lambda: F.count_if(~F.col("gap_ok")),
+    "ready": lambda: F.count_if(F.col("y_surge_next_week").isNotNull() & F.col("log10_conc_lag1").isNotNull()),
+}
+
+
+def write_panel(features: DataFrame) -> tuple[DataFrame, dict]:
+    """The written panel and its observed counts.
+
+    Raises if the panel has rows but none with admissions: the join matched nothing.  The check
+    reads the counts of the write itself."""
+    written, counts = write_observed(features, "panel", *[make().alias(k) for k, make in PANEL_COUNTS.items()])
+    counts = {k: int(counts.get(k) or 0) for k in PANEL_COUNTS}
+    if counts["rows"] and not counts["matched"]:
         raise ValueError("join on (state, week) matched no rows; check the week-ending day")
+    return written, counts
 
 
 def assert_matches(guard: DataFrame) -> None:
@@ -175,18 +190,11 @@ def fold_rates(era: DataFrame) -> DataFrame:
         F.min("week_end").alias("first_week"), F.max("week_end").alias("last_week"))
 
 
-def panel_step_log(ww: DataFrame, labels: DataFrame, features: DataFrame) -> DataFrame:
-    a = ww.agg(F.count(F.lit(1)).alias("a"))
-    b = labels.agg(F.count(F.lit(1)).alias("b"))
-    c = features.agg(F.count(F.lit(1)).alias("c"),
-                     F.count_if(F.col("y_surge_next_week").isNotNull()
-                                & F.col("log10_conc_lag1").isNotNull()).alias("d"),
-                     F.count_if(~F.col("gap_ok")).alias("gap_voided"))
-    one = a.crossJoin(b).crossJoin(c)
-    rows = F.array(*[F.struct(F.lit(s).alias("step"), F.col(v).cast("long").alias("rows_remaining"),
-                              F.lit(r).alias("reason"))
-                     for (s, r), v in zip(PANEL_STEPS, "abcd")])
-    return one.select(F.inline(rows))
+def panel_step_log(spark: SparkSession, weekly_rows: int, label_rows: int, counts: dict) -> DataFrame:
+    """(step, rows_remaining, reason) from the counts observed when the stages were written."""
+    numbers = (weekly_rows, label_rows, counts["rows"], counts["ready"])
+    return spark.createDataFrame([(step, n, reason) for (step, reason), n in zip(PANEL_STEPS, numbers)],
+                                 "step string, rows_remaining long, reason string")
 
 
 def null_report(df: DataFrame, pattern: str = "lag") -> DataFrame:

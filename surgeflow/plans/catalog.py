@@ -16,7 +16,7 @@ from ..operators import clean_samples as CS
 from ..operators import panel as P
 from ..sources import fixtures as fx
 from . import oracle_sql as O
-from .stages import era_matrix, finish, panel, samples
+from .stages import era_matrix, finish, labels, panel, samples
 
 Q = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Q] = {}
@@ -39,7 +39,7 @@ R = O.R
 WEEKLY_SQL_COLS = ", ".join([
     "state_territory", "week_end", R("log10_conc_mean", "log10_conc_mean"),
     R("log10_conc_median", "log10_conc_median"), R("conc_site_z_mean", "conc_site_z_mean"),
-    "n_samples", "n_sites", R("pct_nondetect", "pct_nondetect"), "pop_served"])
+    "n_samples", "n_sites", R("pct_nondetect", "pct_nondetect"), "pop_served", "pop_served_distinct"])
 
 
 @register("ag_weekly_state", O.sql(f"SELECT {WEEKLY_SQL_COLS} FROM s_weekly"))
@@ -126,9 +126,11 @@ SELECT (SELECT CAST(count(*) AS BIGINT) FROM s_typed WHERE is_log) AS log_unit_r
        (SELECT CAST(sum(nondetect_flag) AS BIGINT) FROM s_subst) AS nondetects,
        (SELECT CAST(count(*) AS BIGINT) FROM s_subst) - (SELECT CAST(count(*) AS BIGINT) FROM s_dedup)
            AS duplicates_removed,
-       (SELECT CAST(sum(outlier_flag) AS BIGINT) FROM s_scored) AS outliers_flagged"""))
+       (SELECT CAST(sum(outlier_flag) AS BIGINT) FROM s_scored) AS outliers_flagged,
+       (SELECT CAST(count(*) AS BIGINT) FROM p_feat WHERE NOT gap_ok) AS gap_rows_voided"""))
 def q_side_counts(spark, sf_dir):
-    return CS.sample_side_counts(samples(spark, sf_dir))
+    voided = panel(spark, sf_dir).counts["gap_voided"]
+    return CS.sample_side_counts(samples(spark, sf_dir)).withColumn("gap_rows_voided", F.lit(voided).cast("long"))
 
 
 # ---------------------------------------------------------------- label side
@@ -137,7 +139,7 @@ def q_side_counts(spark, sf_dir):
     "SELECT state_territory, week_end, " + R("admits", "admits") + ", "
     + R("coverage", "coverage") + ", regime FROM h_labels"))
 def q_labels(spark, sf_dir):
-    return finish(panel(spark, sf_dir).labels)
+    return finish(labels(spark, sf_dir)[0])
 
 
 @register("fl_drop_rollups", O.sql(
@@ -176,7 +178,7 @@ def q_value_counts(spark, sf_dir):
     "CAST(count(DISTINCT state_territory) AS BIGINT) AS n_states, CAST(count(*) AS BIGINT) AS n_rows "
     "FROM h_labels"))
 def q_low_coverage(spark, sf_dir):
-    return finish(CL.low_coverage(panel(spark, sf_dir).labels))
+    return finish(CL.low_coverage(labels(spark, sf_dir)[0]))
 
 
 # ---------------------------------------------------------------- panel
@@ -276,7 +278,7 @@ SELECT step, rows_remaining, reason FROM (
   UNION ALL SELECT '32_model_ready', CAST(count(*) AS BIGINT), 'require label + >= 1 lag' FROM p_ready)"""))
 def q_panel_log(spark, sf_dir):
     p = panel(spark, sf_dir)
-    return P.panel_step_log(p.samples.weekly, p.labels, p.features)
+    return P.panel_step_log(spark, p.samples.weekly_counts["n_support"], p.label_rows, p.counts)
 
 
 @register("ag_null_report", O.sql("""

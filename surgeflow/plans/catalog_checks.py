@@ -19,6 +19,7 @@ from ..sources import fixtures as fx
 from . import oracle_sql as O
 from .catalog import R, register
 from .stages import finish, panel, samples
+from .stages import labels as stage_labels
 
 # ------------------------------------------------------------------ coercion, nulls, text
 
@@ -130,7 +131,7 @@ def q_panel_sort(spark, sf_dir):
     """Labels in (state, week) order; the position is the row's place in the written table.
 
     The place is carried by a sort: rows before a state plus the place inside it."""
-    labels = panel(spark, sf_dir).labels.select("state_territory", "week_end", "admits")
+    labels = stage_labels(spark, sf_dir)[0].select("state_territory", "week_end", "admits")
     before = Window.orderBy("state_territory").rowsBetween(Window.unboundedPreceding, -1)
     # one row per state
     starts = labels.groupBy("state_territory").agg(F.count(F.lit(1)).alias("k")).select(

@@ -136,9 +136,9 @@ ORACLE["sc_prefix_test"] = ORACLE["fl_drop_rollups"]
     + ", regime FROM h_labels"))
 def q_write(spark, sf_dir):
     from ..sources import io as IO
-    from .stages import panel
+    from .stages import labels
     path = _export_dir(spark, "labels")
-    IO.write_table(panel(spark, sf_dir).labels, path, partition_by=("regime",))
+    IO.write_table(labels(spark, sf_dir)[0], path, partition_by=("regime",))
     return finish(spark.read.parquet(path).select("state_territory", "week_end", "admits",
                                                   "coverage", "regime"))
 

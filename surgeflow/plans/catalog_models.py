@@ -20,13 +20,13 @@ from ..operators.score import latest_features, score_latest
 from . import oracle_sql as O
 from .catalog import R, register
 from ..session import cut_lineage, ensure_checkpoint_dir
-from .stages import _CACHE, _key, era_matrix, finish, panel
+from .stages import _CACHE, LABEL_TABLES, SAMPLE_TABLES, _key, era_matrix, finish, panel
 
 FEATS = list(MODEL_FEATURES)
 
 
 def train_test(spark, sf_dir):
-    k = _key(spark, "tt", sf_dir)
+    k = _key(spark, "tt", sf_dir, SAMPLE_TABLES + LABEL_TABLES[:2])
     if k not in _CACHE:
         feats, targets = era_matrix(spark, sf_dir)
         df = cut_lineage(ML.join_features_targets(feats, targets, "inner"))
@@ -35,7 +35,7 @@ def train_test(spark, sf_dir):
 
 
 def fitted(spark, sf_dir) -> ML.FittedModels:
-    k = _key(spark, "models", sf_dir)
+    k = _key(spark, "models", sf_dir, SAMPLE_TABLES + LABEL_TABLES[:2])
     if k not in _CACHE:
         tr, _ = train_test(spark, sf_dir)
         _CACHE[k] = ML.fit_all(tr, FEATS)
@@ -43,7 +43,7 @@ def fitted(spark, sf_dir) -> ML.FittedModels:
 
 
 def predictions(spark, sf_dir):
-    k = _key(spark, "pred", sf_dir)
+    k = _key(spark, "pred", sf_dir, SAMPLE_TABLES + LABEL_TABLES[:2])
     if k not in _CACHE:
         _, te = train_test(spark, sf_dir)
         _CACHE[k] = cut_lineage(ML.score_batch(fitted(spark, sf_dir), te))
@@ -117,7 +117,7 @@ def q_model_report(spark, sf_dir):
 
 def stored_models(spark, sf_dir) -> str:
     """Folder of the stored pipelines, their feature list and their metrics on the test rows."""
-    k = _key(spark, "store", sf_dir)
+    k = _key(spark, "store", sf_dir, SAMPLE_TABLES + LABEL_TABLES[:2])
     if k not in _CACHE:
         root = os.path.join(ensure_checkpoint_dir(spark), f"model-store-{uuid.uuid4().hex}")
         ML.save_models(fitted(spark, sf_dir), root, M.report(ML.long_predictions(predictions(spark, sf_dir))))
@@ -157,29 +157,29 @@ def q_cv(spark, sf_dir):
     AUC / F1 over the folds with a test slice and two classes in training; the number of
     folds without is in ``folds_skipped``."""
     from ..config import PanelConfig
-    pcfg = PanelConfig()
-    mr = panel(spark, sf_dir).ready
     from ..operators.matrix import add_temporal_geo
-    base = add_temporal_geo(mr)
-    rows, skipped = None, 0
-    for i, (s, tr_end, te_end) in enumerate(pcfg.folds, 1):
-        wk = F.col("week_end")
-        tr = base.where((wk >= F.lit(s).cast("date")) & (wk < F.lit(tr_end).cast("date")))
-        te = base.where((wk >= F.lit(tr_end).cast("date")) & (wk < F.lit(te_end).cast("date")))
-        if te.isEmpty() or tr.select(ML.LABEL).distinct().count() < 2:
-            skipped += 1
-            continue
-        fm = ML.fit_all(tr, FEATS)
-        rep = M.report(ML.long_predictions(ML.score_batch(fm, te))).withColumn("fold", F.lit(i))
-        rows = rep if rows is None else rows.unionByName(rep)
-    if rows is None:
+    base = add_temporal_geo(panel(spark, sf_dir).ready)
+    wk, y, known, counts = F.col("week_end"), F.col(ML.LABEL), [], []
+    for i, (start, train_end, test_end) in enumerate(PanelConfig().folds, 1):
+        a, b, c = (F.lit(d).cast("date") for d in (start, train_end, test_end))
+        train, test = (wk >= a) & (wk < b), (wk >= b) & (wk < c)
+        known.append((i, train, test))
+        counts += [F.count_if(test).alias(f"test_{i}"), F.count_if(train & (y == 0)).alias(f"no_{i}"),
+                   F.count_if(train & (y == 1)).alias(f"yes_{i}")]
+    seen = base.agg(*counts).first()                               # one row
+    folds = [(i, base.where(train), base.where(test)) for i, train, test in known
+             if seen[f"test_{i}"] and seen[f"no_{i}"] and seen[f"yes_{i}"]]
+    if not folds:
         return spark.createDataFrame([], "model string, folds long, roc_auc_mean double, "
                                      "roc_auc_sd double, f1_mean double, f1_sd double, "
                                      "folds_skipped int")
-    return finish(rows.groupBy("model").agg(
+    found = ML.cross_validate(folds, FEATS)
+    # one report over (fold, model)
+    both = M.report(found.withColumn("model", F.concat_ws("|", "fold", "model")))
+    return finish(both.groupBy(F.substring_index("model", "|", -1).alias("model")).agg(
         F.count(F.lit(1)).alias("folds"), F.avg("roc_auc").alias("roc_auc_mean"),
         F.stddev_samp("roc_auc").alias("roc_auc_sd"), F.avg("f1").alias("f1_mean"),
-        F.stddev_samp("f1").alias("f1_sd")).withColumn("folds_skipped", F.lit(skipped)))
+        F.stddev_samp("f1").alias("f1_sd")).withColumn("folds_skipped", F.lit(len(known) - len(folds))))
 
 
 # ------------------------------------------------------------------ latest-row scoring
@@ -239,7 +239,7 @@ def q_strength(spark, sf_dir):
 # ------------------------------------------------------------------ attribution (rows-only)
 
 def contributions(spark, sf_dir):
-    k = _key(spark, "xp", sf_dir)
+    k = _key(spark, "xp", sf_dir, SAMPLE_TABLES + LABEL_TABLES[:2])
     if k not in _CACHE:
         fm = fitted(spark, sf_dir)
         _, te = train_test(spark, sf_dir)

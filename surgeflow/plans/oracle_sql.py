@@ -98,8 +98,11 @@ SELECT state_territory, week_end,
        avg(log10_conc) AS log10_conc_mean, median(log10_conc) AS log10_conc_median,
        avg(conc_site_z) AS conc_site_z_mean, CAST(count(*) AS BIGINT) AS n_samples,
        CAST(count(DISTINCT site) AS BIGINT) AS n_sites, avg(nondetect_flag) AS pct_nondetect,
-       CAST(COALESCE(sum(population), 0) AS BIGINT) AS pop_served
-FROM s_scored WHERE state_territory IS NOT NULL AND week_end IS NOT NULL
+       CAST(COALESCE(sum(population), 0) AS BIGINT) AS pop_served,
+       CAST(COALESCE(sum(population) FILTER (WHERE first_of_site), 0) AS BIGINT) AS pop_served_distinct
+FROM (SELECT *, site IS NOT NULL AND row_number() OVER (PARTITION BY state_territory, week_end, site
+             ORDER BY population DESC NULLS LAST) = 1 AS first_of_site FROM s_scored)
+WHERE state_territory IS NOT NULL AND week_end IS NOT NULL
 GROUP BY state_territory, week_end"""
 
 CTE["s_weekly"] = "SELECT * FROM s_weekly_all WHERE n_sites >= {min_sites}"

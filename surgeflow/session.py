@@ -67,5 +67,18 @@ def cut_lineage(df):
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def write_observed(df, name: str, *counts):
+    """``cut_lineage(df)`` and the observed aggregates ``counts`` of its rows, as a dict.
+
+    They are taken by the tasks that write the table, so there is no second pass, and a task
+    that is run again for a lost executor counts once.
+    """
+    from pyspark.sql import Observation
+
+    seen = Observation(f"{name}-{uuid.uuid4().hex}")
+    written = cut_lineage(df.observe(seen, *counts))
+    return written, seen.get
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")

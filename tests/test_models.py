@@ -2,6 +2,7 @@ import datetime as dt
 import os
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from surgeflow.operators import metrics as M
@@ -37,3 +38,31 @@ def test_stored_pipelines_score_raw_rows_in_a_new_session(spark):
             assert r["prediction"] == e[f"{key}_pred"] and abs(r["score"] - e[f"{key}_proba"]) < 1e-9
     stored = other.read.parquet(os.path.join(root, "metrics"))
     assert {r["model"] for r in stored.collect()} >= set(ML.MODEL_NAMES.values())
+
+
+def test_cross_validation_equals_fold_by_fold(spark):
+    rows = _train(spark)
+    cut = [F.lit(d).cast("date") for d in ("2026-01-03", "2027-01-02", "2027-10-02")]
+    folds = [(k, rows.where(F.col("week_end") < a), rows.where((F.col("week_end") >= a) & (F.col("week_end") < b)))
+             for k, (a, b) in enumerate(zip(cut, cut[1:]), 1)]
+    got = ML.cross_validate(folds, ["a", "b", "c"], rf_trees=5, gbt_iter=4)
+    for k, train, test in folds:
+        alone = ML.long_predictions(ML.score_batch(ML.fit_all(train, ["a", "b", "c"], rf_trees=5, gbt_iter=4), test))
+        fields = ["model", "week_end", "label", "prediction"]
+        assert sorted(map(tuple, got.where(F.col("fold") == k).select(fields).collect())) == \
+            sorted(map(tuple, alone.select(fields).collect()))
+    assert got.count() == 4 * sum(test.count() for _, _, test in folds)
+
+
+def test_concurrent_tasks_keep_order_group_and_errors(spark):
+    sc = spark.sparkContext
+    sc.setJobGroup("outer", "group of the caller")
+    try:
+        got = ML.concurrently(spark, [lambda k=k: (spark.range(k).count(), sc.getLocalProperty("spark.jobGroup.id"),
+                                                   sc.getLocalProperty("spark.scheduler.pool")) for k in range(4)])
+        assert got == [(k, "outer", f"surgeflow-{k}") for k in range(4)]
+        assert sc.getLocalProperty("spark.scheduler.pool") is None
+        with pytest.raises(ZeroDivisionError):
+            ML.concurrently(spark, [lambda: 1 / 0, lambda: spark.range(3).count()])
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)

@@ -64,8 +64,13 @@ def test_panel_build_raises_without_a_match(spark):
     ww, lab, wk = _panel(spark)
     with pytest.raises(ValueError):
         matched_panel(ww, lab.withColumn("week_end", F.date_add("week_end", 1)), PanelConfig())
-    assert matched_panel(ww, lab, PanelConfig())[1].count() == 5
-    assert matched_panel(ww.limit(0), lab, PanelConfig())[1].count() == 0
+    _, feats, counts = matched_panel(ww, lab, PanelConfig())
+    assert counts == {"rows": feats.count(), "matched": feats.where("admits is not null").count(),
+                      "gap_voided": feats.where("not gap_ok").count(),
+                      "ready": feats.where("y_surge_next_week is not null and log10_conc_lag1 is not null").count()}
+    assert counts["rows"] == 5 and counts["gap_voided"] > 0
+    _, empty, counts = matched_panel(ww.limit(0), lab, PanelConfig())
+    assert empty.count() == 0 and set(counts.values()) == {0}
 
 
 def test_leakage_split(spark):
