@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..config import CORR_COLUMNS, HIST_COLUMNS, SCATTER_PREDICTORS
 from ..functions.semantics import coerce_double, dtype_of, numeric_columns, text_norm
 from ..operators import coverage as C
+from ..operators import guards as G
 from ..operators import stats as ST
 from ..sources import fixtures as fx
 from ..sources.io import profile_shape
@@ -308,6 +309,37 @@ def q_z_vs_next(spark, sf_dir):
                            F.col(f"{TARGET}_scaled").alias("next_admits_scaled")))
 
 
+@register("ed_z_vs_next_filtered", O.sql(_scale_sql(
+    "p_feat", "WHERE week_end IS NOT NULL AND conc_site_z_mean IS NOT NULL AND y_reg_next_admits IS NOT NULL "
+    f"AND upper(trim(state_territory)) = upper('{ONE_STATE}') AND year(week_end) = {TREND_YEAR}",
+    "conc_site_z_mean", "y_reg_next_admits", "zscore_scaled", "next_admits_scaled").replace(
+        "state_territory, week_end", "upper(trim(state_territory)) AS state_territory, week_end", 1)))
+def q_z_vs_next_filtered(spark, sf_dir):
+    """One state (any case) in one year, scaled after the restriction; running it raises if no row is left."""
+    f = G.usable_rows(panel(spark, sf_dir).features, ["conc_site_z_mean", TARGET], f" {ONE_STATE} ", TREND_YEAR)
+    d = ST.minmax_scale(f, ["conc_site_z_mean", TARGET])
+    return finish(d.select("state_territory", "week_end", F.col("conc_site_z_mean_scaled").alias("zscore_scaled"),
+                           F.col(f"{TARGET}_scaled").alias("next_admits_scaled")))
+
+
+@register("fl_state_upper", O.sql("SELECT upper(trim(state_territory)) AS state_territory, week_end, "
+                                  f"{R('admits', 'admits')} FROM p_ready "
+                                  f"WHERE upper(trim(state_territory)) = upper('{ONE_STATE}')"))
+def q_state_upper(spark, sf_dir):
+    """The upper-case variant; running it raises if the state has no row."""
+    r = G.only_state(panel(spark, sf_dir).ready, ONE_STATE)
+    return finish(r.select("state_territory", "week_end", "admits"))
+
+
+@register("fl_min_rows_required", O.sql(
+    f"SELECT count(*) AS n, {R('corr(y_reg_next_admits, conc_site_z_mean)', 'r')} FROM p_feat "
+    "WHERE conc_site_z_mean IS NOT NULL AND y_reg_next_admits IS NOT NULL"))
+def q_min_rows_required(spark, sf_dir):
+    """Correlation of the complete pairs; running it raises if there are fewer than two."""
+    pairs = G.complete_pairs(panel(spark, sf_dir).features, "conc_site_z_mean", TARGET)
+    return finish(ST.linear_fits(pairs, ["conc_site_z_mean"], TARGET).select("n", "r"))
+
+
 @register("fl_state", O.sql(f"SELECT state_territory, week_end, {R('admits', 'admits')} FROM p_ready "
                             f"WHERE state_territory = '{ONE_STATE}'"))
 def q_state(spark, sf_dir):
