@@ -28,6 +28,12 @@ def bucket_of(v: Column) -> Column:
     return F.when(v == 0, F.lit(0)).otherwise(F.signum(v) * width).cast("long")
 
 
+def value_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """``keys``, ``__v`` (the value as double), ``__c`` (its rows); NULL and NaN are left out."""
+    v = df.select(*keys, F.nanvl(F.col(value).cast("double"), F.lit(None)).alias("__v"))
+    return v.where(F.col("__v").isNotNull()).groupBy(*keys, "__v").agg(F.count(F.lit(1)).alias("__c"))
+
+
 def group_quantiles(df: DataFrame, keys: Sequence[str], value: str,
                     probs: Sequence[float], names: Sequence[str],
                     exact: bool = True, accuracy: int = 10000) -> DataFrame:
@@ -38,15 +44,19 @@ def group_quantiles(df: DataFrame, keys: Sequence[str], value: str,
     ``exact=False`` uses the mergeable ``percentile_approx`` sketch instead.
     """
     keys = list(keys)
-    v = df.select(*keys, F.nanvl(F.col(value).cast("double"), F.lit(None)).alias("__v")) \
-        .where(F.col("__v").isNotNull())
-    if not exact:
-        q = F.percentile_approx("__v", list(probs), accuracy)
-        out = v.groupBy(*keys).agg(q.alias("__q"))
-        return out.select(*keys, *[F.col("__q")[i].alias(n) for i, n in enumerate(names)])
-
-    counts = v.groupBy(*keys, "__v").agg(F.count(F.lit(1)).alias("__c")) \
-        .withColumn("__b", bucket_of(F.col("__v")))
+    if exact:
+        return quantiles_of_counts(value_counts(df, keys, value), keys, probs, names)
+    v = F.nanvl(F.col(value).cast("double"), F.lit(None))
+    out = df.select(*keys, v.alias("__v")).where(F.col("__v").isNotNull()).groupBy(*keys).agg(
+        F.percentile_approx("__v", list(probs), accuracy).alias("__q"))
+    return out.select(*keys, *[F.col("__q")[i].alias(n) for i, n in enumerate(names)])
+
+
+def quantiles_of_counts(counts: DataFrame, keys: Sequence[str], probs: Sequence[float],
+                        names: Sequence[str]) -> DataFrame:
+    """``group_quantiles`` of a table made by ``value_counts``."""
+    keys = list(keys)
+    counts = counts.withColumn("__b", bucket_of(F.col("__v")))
     totals = counts.groupBy(*keys, "__b").agg(F.sum("__c").alias("__bn"))
     # one row per group and bucket, whatever the number of rows
     before = Window.partitionBy(*keys).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)

@@ -8,34 +8,54 @@ from __future__ import annotations
 
 from typing import Sequence
 
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
 from ..functions import semantics as S
-from .quantiles import group_quantiles
+from .quantiles import group_quantiles, quantiles_of_counts, value_counts
 
 
 def corr_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Pairwise-complete Pearson matrix in long form (col_a, col_b, r).
 
-    Each row is expanded to one (pair, x, y) record per column pair and a single
-    ``groupBy(pair)`` computes the co-moments: four small aggregates instead of a
-    several-hundred-column aggregate that defeats code generation.
+    One row's share of the co-moment matrix (per pair: complete count, sums, squares, product) is
+    a vector, and one aggregate adds the vectors up, map-side first; no row is repeated.  Values
+    are centred on their column's mean beforehand, so the sums lose no digits.  Fewer than two
+    complete pairs, or a column that is constant in them (its spread there below 1e-13 of the
+    squared centred values), give NULL.
     """
     cols = list(columns)
-    d = df.select(*[S.nan_to_null(F.col(c).cast("double")).alias(c) for c in cols])
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    recs = F.array(*[F.struct(F.lit(i).alias("p"), F.col(a).alias("x"), F.col(b).alias("y"))
-                     for i, (a, b) in enumerate(pairs)])
-    long = d.select(F.inline(recs))
-    g = long.groupBy("p").agg(S.safe_corr("x", "y").alias("r"))
+    d = df.select(*[S.nan_to_null(F.col(c).cast("double")).alias(f"__x{i}") for i, c in enumerate(cols)])
+    means = d.agg(*[F.avg(f"__x{i}").alias(f"__m{i}") for i in range(len(cols))])
+    centred = d.crossJoin(F.broadcast(means)).select(*[(F.col(f"__x{i}") - F.col(f"__m{i}")).alias(f"__x{i}")
+                                                       for i in range(len(cols))])
+    pairs = [(i, k) for i in range(len(cols)) for k in range(i, len(cols))]
+    parts = []
+    for i, k in pairs:
+        x, y = F.col(f"__x{i}"), F.col(f"__x{k}")
+        both = x.isNotNull() & y.isNotNull()
+        parts += [F.when(both, part).otherwise(0.0) for part in (F.lit(1.0), x, y, x * x, y * y, x * y)]
+    # a row of zeros lets the aggregate answer an empty table
+    none = df.sparkSession.range(1).select(F.array_repeat(F.lit(0.0), len(parts)).alias("v"))
+    total = centred.select(F.array(*parts).alias("v")).union(none).select(array_to_vector("v").alias("v")).agg(
+        vector_to_array(Summarizer.sum(F.col("v"))).alias("sums"))
     names = df.sparkSession.createDataFrame(
-        [(i, a, b) for i, (a, b) in enumerate(pairs)], "p int, col_a string, col_b string")
-    j = g.join(F.broadcast(names), "p")            # fixed-size pair table
+        [(6 * at, cols[i], cols[k]) for at, (i, k) in enumerate(pairs)], "at int, col_a string, col_b string")
+    n, sx, sy, sxx, syy, sxy = [F.nullif(part, F.lit(0.0)) if j == 0 else part
+                                for j, part in enumerate(F.get("sums", F.col("at") + j) for j in range(6))]
+
+    def spread(squares, total):
+        left = squares - total * total / n
+        return F.when(left > 1e-13 * squares, left).otherwise(0.0)
+
+    r = F.when(n > 1.5, S.safe_corr_parts(sxy - sx * sy / n, spread(sxx, sx), spread(syy, sy)))
+    j = F.broadcast(names).crossJoin(total).select("col_a", "col_b", r.alias("r"))  # one row of sums
     mirror = j.where(F.col("col_a") != F.col("col_b")).select(
         F.col("col_b").alias("col_a"), F.col("col_a").alias("col_b"), "r")
-    return j.select("col_a", "col_b", "r").unionByName(mirror)
+    return j.unionByName(mirror)
 
 
 def long_pairs(df: DataFrame, predictors: Sequence[str], target: str) -> DataFrame:
@@ -140,17 +160,17 @@ def variation_rank(df: DataFrame, group: str, columns: Sequence[str], top_n: int
 
 
 def box_stats(df: DataFrame, group: str, value: str) -> DataFrame:
-    """Quartiles and whiskers (last point within 1.5 IQR) per group, no fliers."""
-    d = df.select(group, value).where(F.col(group).isNotNull() & F.col(value).isNotNull())
-    q = group_quantiles(d, [group], value, [0.25, 0.5, 0.75], ["q1", "median", "q3"])
-    j = d.join(q, group)
-    iqr = F.col("q3") - F.col("q1")
-    lo_lim, hi_lim = F.col("q1") - 1.5 * iqr, F.col("q3") + 1.5 * iqr
-    v = F.col(value)
-    wh = j.groupBy(group).agg(F.min(F.when(v >= lo_lim, v)).alias("whisker_lo"),
-                              F.max(F.when(v <= hi_lim, v)).alias("whisker_hi"),
-                              F.count(F.lit(1)).alias("n"))
-    return q.join(wh, group).select(group, "n", "q1", "median", "q3", "whisker_lo", "whisker_hi")
+    """Quartiles and whiskers (last point within 1.5 IQR) per group, no fliers.
+
+    Everything comes from one (group, value, rows) table; the raw rows are read once."""
+    counts = value_counts(df.where(F.col(group).isNotNull()), [group], value)
+    q = quantiles_of_counts(counts, [group], [0.25, 0.5, 0.75], ["q1", "median", "q3"])
+    iqr, v = F.col("q3") - F.col("q1"), F.col("__v")
+    # one row of quartiles per group on the right
+    return counts.join(q, group).groupBy(group).agg(
+        F.sum("__c").alias("n"), *[F.any_value(c).alias(c) for c in ("q1", "median", "q3")],
+        F.min(F.when(v >= F.col("q1") - 1.5 * iqr, v)).alias("whisker_lo"),
+        F.max(F.when(v <= F.col("q3") + 1.5 * iqr, v)).alias("whisker_hi"))
 
 
 def tail_to_other(df: DataFrame, col: str, keep_tail: int = 3) -> DataFrame:

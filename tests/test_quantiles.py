@@ -2,6 +2,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from surgeflow.operators.quantiles import group_quantiles
+from surgeflow.operators.stats import box_stats, corr_matrix
 
 
 def test_group_quantiles_match_numpy(spark):
@@ -50,3 +51,35 @@ def test_sketch_switch(spark):
     df = spark.createDataFrame([(float(i),) for i in range(1001)], "v double")
     r = group_quantiles(df, [], "v", [0.5], ["m"], exact=False).first()
     assert abs(r["m"] - 500.0) <= 1.0
+
+
+def test_box_stats_with_ties_nulls_and_a_single_value(spark):
+    rng = np.random.default_rng(9)
+    data = {"a": np.round(rng.lognormal(2, 1, 500), 1), "b": np.array([3.0]), "c": np.array([1.0, 1.0, 1.0, 50.0])}
+    rows = [(g, float(x)) for g, v in data.items() for x in v] + [("a", None), (None, 1.0), ("d", None)]
+    got = {r.g: r for r in box_stats(spark.createDataFrame(rows, "g string, v double"), "g", "v").collect()}
+    assert set(got) == set(data)
+    for g, v in data.items():
+        q1, med, q3 = np.percentile(v, [25, 50, 75])
+        lo, hi = v[v >= q1 - 1.5 * (q3 - q1)].min(), v[v <= q3 + 1.5 * (q3 - q1)].max()
+        r = got[g]
+        assert r.n == len(v) and np.allclose((r.q1, r.median, r.q3, r.whisker_lo, r.whisker_hi), (q1, med, q3, lo, hi))
+
+
+def test_corr_matrix_is_pairwise_complete_without_repeating_rows(spark):
+    rng = np.random.default_rng(11)
+    x = rng.standard_normal((400, 3)) * [1.0, 1e-3, 5.0] + [1e6, 0.0, -7.0]  # far from zero on purpose
+    x[:, 2] += 3 * x[:, 1] * 1e3
+    x[rng.random(x.shape) < 0.2] = np.nan
+    rows = [(*map(float, r), 0.1, None) for r in x]
+    df = spark.createDataFrame(rows, "a double, b double, c double, same double, none double")
+    made = corr_matrix(df, ["a", "b", "c", "same", "none"])
+    assert "Generate" not in made._jdf.queryExecution().executedPlan().toString()
+    got = {(r.col_a, r.col_b): r.r for r in made.collect()}
+    assert len(got) == 25
+    for i, a in enumerate("abc"):
+        for k, b in enumerate("abc"):
+            ok = ~np.isnan(x[:, i]) & ~np.isnan(x[:, k])
+            assert abs(got[a, b] - np.corrcoef(x[ok, i], x[ok, k])[0, 1]) < 1e-9
+    assert all(got[p] is None for p in got if {"same", "none"} & set(p))
+    assert {r.r for r in corr_matrix(df.limit(0), ["a", "b"]).collect()} == {None}
