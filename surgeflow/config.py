@@ -91,6 +91,7 @@ class PanelConfig:
     how: str = "left"
     surge_threshold: float = SURGE_THRESHOLD
     per_capita_mode: str = "identity"      # identity | constant | population
+    median_as_of: str = "all"              # T13 compat: whole history; "current" = weeks so far
     era_start: str = "1997-01-01"
     split_quantile: float = 0.75
     calendar_lags: bool = False            # T21 compat: lags by row

@@ -79,13 +79,27 @@ def per_capita(cfg: PanelConfig, population_col: str = "pop_served"):
     raise ValueError(cfg.per_capita_mode)
 
 
+def state_median(m: DataFrame, name: str, cfg: PanelConfig = PanelConfig()) -> DataFrame:
+    """Each row's state median of admissions (NULL and NaN left out; NULL where there are none).
+
+    ``median_as_of="all"`` takes the whole history (look-ahead, T13).  ``"current"`` takes the
+    weeks up to the row's own, so a label of it owes nothing to later weeks; the window holds one
+    row per calendar week.
+    """
+    if cfg.median_as_of == "all":
+        med = group_quantiles(m, [cfg.key], "admits", [0.5], [name])  # one row per state
+        return m.join(med, cfg.key, "left")
+    if cfg.median_as_of != "current":
+        raise ValueError(cfg.median_as_of)
+    so_far = Window.partitionBy(cfg.key).orderBy(cfg.week).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    return m.withColumn(name, F.percentile(S.nan_to_null(F.col("admits")), 0.5).over(so_far))
+
+
 def build_features(m: DataFrame, cfg: PanelConfig = PanelConfig()) -> DataFrame:
     """Targets, gap guard, lags, delta and rolling mean over ``W``."""
     key, wk = cfg.key, cfg.week
     w = Window.partitionBy(key).orderBy(wk)
-    # whole-history state median of admissions (look-ahead, T13), one row per state
-    med = group_quantiles(m, [key], "admits", [0.5], ["__state_med"])
-    m = m.join(med, key, "left")
+    m = state_median(m, "__state_med", cfg)
     nxt = F.lead("admits", 1).over(w)
     nxt_week = F.lead(wk, 1).over(w)
     x = F.col("log10_conc_mean")

@@ -11,6 +11,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..config import PanelConfig
 from ..operators import clean_labels as CL
 from ..operators import clean_samples as CS
 from ..operators import panel as P
@@ -228,6 +229,21 @@ def q_features(spark, sf_dir):
     return finish(panel(spark, sf_dir).features.select(*P.PANEL_COLUMNS))
 
 
+@register("wn_group_median_as_of", O.sql(
+    "SELECT state_territory, week_end, " + R("so_far", "state_median") + ", CASE WHEN next_admits IS NULL OR next_week IS "
+    "NULL OR next_week - week_end <> 7 THEN NULL ELSE CAST(coalesce((next_admits - admits) / nullif(admits, 0) > "
+    f"{PanelConfig().surge_threshold} AND next_admits > so_far, false) AS INTEGER) END AS y_surge_next_week FROM ("
+    "SELECT state_territory, week_end, admits, lead(admits) OVER w AS next_admits, lead(week_end) OVER w AS next_week, "
+    "quantile_cont(admits, 0.5) OVER (PARTITION BY state_territory ORDER BY week_end ROWS UNBOUNDED PRECEDING) AS so_far "
+    "FROM p_joined WINDOW w AS (PARTITION BY state_territory ORDER BY week_end))"))
+def q_median_as_of(spark, sf_dir):
+    """The state median of the weeks so far, and the label that it gives, without look-ahead."""
+    cfg = PanelConfig(median_as_of="current")
+    joined = panel(spark, sf_dir).joined
+    labelled = P.build_features(P.state_median(joined, "state_median", cfg), cfg)
+    return finish(labelled.select("state_territory", "week_end", "state_median", "y_surge_next_week"))
+
+
 @register("sp_flag_column", O.sql(f"SELECT {_panel_sql_cols(('split_era',))} FROM p_era"))
 def q_era(spark, sf_dir):
     return finish(panel(spark, sf_dir).era.select(*P.PANEL_COLUMNS, "split_era"))

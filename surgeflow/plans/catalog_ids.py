@@ -150,9 +150,26 @@ def q_csv_dates(spark, sf_dir):
     path = _export_dir(spark, "weekly")
     IO.write_table(samples(spark, sf_dir).weekly.select("state_territory", "week_end", "n_samples",
                                                        "n_sites"), path, fmt="csv")
-    back = IO.read_csv_dates(spark, path, ["week_end"])
-    return back.select("state_territory", "week_end", F.col("n_samples").cast("long"),
-                       F.col("n_sites").cast("long"))
+    return IO.read_csv_dates(spark, path, "state_territory string, week_end date, n_samples long, n_sites long")
+
+
+@register("io_read_csv_corrupt", O.sql(
+    "SELECT o_orderkey, CASE WHEN o_orderkey % 7 <> 0 AND o_orderkey % 5 <> 0 THEN CAST(o_orderdate AS DATE) END "
+    "AS o_orderdate, CASE WHEN o_orderkey % 5 <> 0 AND o_orderkey % 11 <> 0 THEN o_custkey END AS o_custkey, "
+    "o_orderkey % 5 = 0 OR o_orderkey % 7 = 0 OR o_orderkey % 11 = 0 OR o_orderkey % 13 = 0 AS is_corrupt FROM orders"))
+def q_csv_corrupt(spark, sf_dir):
+    """Short and long lines, impossible dates and text in a number column, read with their records kept."""
+    from ..sources import io as IO
+    path = _export_dir(spark, "orders")
+    key = F.col("o_orderkey")
+    date = F.when(key % 7 == 0, F.lit("1995-02-30")).otherwise(F.date_format("o_orderdate", "yyyy-MM-dd"))
+    customer = F.when(key % 11 == 0, F.lit("n/a")).otherwise(F.col("o_custkey").cast("string"))
+    extra = F.when((key % 13 == 0) & (key % 5 != 0), F.lit("more"))
+    line = F.when(key % 5 == 0, key.cast("string")).otherwise(F.concat_ws(",", key.cast("string"), date, customer, extra))
+    fx.read(spark, sf_dir, "orders").select(line.alias("value")).write.text(path)
+    back = IO.read_csv_declared(spark, path, "o_orderkey long, o_orderdate date, o_custkey long",
+                                ["o_orderkey", "o_orderdate", "o_custkey"], header=False)
+    return back.select("o_orderkey", "o_orderdate", "o_custkey", F.col(IO.CORRUPT).isNotNull().alias("is_corrupt"))
 
 
 @register("io_read_csv_projected", O.sql(

@@ -9,7 +9,11 @@ from typing import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
+
+
+#: Column that holds a record as it stood in the file when it does not fit the schema.
+CORRUPT = "_corrupt_record"
 
 
 def read_csv_projected(spark: SparkSession, path: str, columns: Sequence[str],
@@ -26,12 +30,31 @@ def read_csv_projected(spark: SparkSession, path: str, columns: Sequence[str],
     return df.select(*columns)
 
 
-def read_csv_dates(spark: SparkSession, path: str, date_cols: Iterable[str],
-                   fmt: str = "yyyy-MM-dd") -> DataFrame:
-    """``read_csv(parse_dates=[...])`` with unparseable text -> NULL."""
-    df = spark.read.option("header", True).option("inferSchema", True).csv(path)
-    return df.withColumns({c: F.to_date(F.try_to_timestamp(F.col(c).cast("string"), F.lit(fmt)))
-                           for c in date_cols})
+def read_csv_declared(spark: SparkSession, path: str, schema: StructType | str, columns: Sequence[str],
+                      date_format: str = "yyyy-MM-dd", header: bool = True, encoding: str = "UTF-8",
+                      corrupt: str = CORRUPT) -> DataFrame:
+    """CSV of a declared schema in one pass: ``columns`` and ``corrupt``.
+
+    A field that cannot be read as its type (bad dates and numbers too) is NULL, as are the fields
+    that a short line lacks; fields beyond the schema are left out.  In all three cases ``corrupt``
+    holds the line, else NULL.  An empty field is NULL and no fault, an empty line no record.  Header
+    names that differ from the schema raise an error."""
+    declared = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    missing = [c for c in columns if c not in declared.names]
+    if missing:
+        raise KeyError(f"Missing columns: {missing}")
+    whole = StructType([*declared.fields, StructField(corrupt, StringType())])
+    return spark.read.schema(whole).option("header", header).option("enforceSchema", False) \
+        .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", corrupt) \
+        .option("dateFormat", date_format).option("encoding", encoding).option("columnPruning", False) \
+        .csv(path).select(*columns, corrupt)
+
+
+def read_csv_dates(spark: SparkSession, path: str, schema: StructType | str, date_format: str = "yyyy-MM-dd") -> DataFrame:
+    """``read_csv(parse_dates=[...])``: the schema's columns, its dates in ``date_format``;
+    unparseable text -> NULL."""
+    declared = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    return read_csv_declared(spark, path, declared, declared.names, date_format).drop(CORRUPT)
 
 
 def read_csv_latin1(spark: SparkSession, path: str) -> DataFrame:

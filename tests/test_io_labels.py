@@ -70,3 +70,24 @@ def test_feature_list_and_metrics_round_trip(spark):
     assert back["model"] == "XGBoost" and back["tp"] == 3
     df = spark.createDataFrame([(1, True, "a", 2.0)], "i int, b boolean, s string, d double")
     assert numeric_columns(df) == ["i", "d"]                # booleans are not numbers
+
+
+def test_declared_csv_keeps_faulty_records(spark, tmp_path):
+    import datetime as dt
+    path = str(tmp_path / "in.csv")
+    with open(path, "w") as f:
+        f.write("day,n,name\n2024-01-06,1,a\n2024-02-30,2,b\n2024-01-13,x,c\n2024-01-20\n2024-01-27,5,e,more\n"
+                "\n,,\n\"2024-02-03\",7,\"x,y\"\n")
+    df = io.read_csv_declared(spark, path, "day date, n int, name string", ["day", "n"])
+    assert df.columns == ["day", "n", io.CORRUPT]
+    day = dt.date
+    assert [tuple(r) for r in df.collect()] == [
+        (day(2024, 1, 6), 1, None), (None, 2, "2024-02-30,2,b"), (day(2024, 1, 13), None, "2024-01-13,x,c"),
+        (day(2024, 1, 20), None, "2024-01-20"), (day(2024, 1, 27), 5, "2024-01-27,5,e,more"), (None, None, None),
+        (day(2024, 2, 3), 7, None)]
+    dates = io.read_csv_dates(spark, path, "day date, n int, name string")
+    assert dates.columns == ["day", "n", "name"] and dates.where("day is null").count() == 2
+    with pytest.raises(KeyError):
+        io.read_csv_declared(spark, path, "day date", ["other"])
+    with pytest.raises(Exception, match="(?i)header"):
+        io.read_csv_dates(spark, path, "week date, n int, name string").collect()

@@ -108,3 +108,26 @@ def test_calendar_lags_and_inner_join(spark):
                                               lab), PanelConfig(per_capita_mode="population"))
     r = {x["week_end"]: x for x in pop.collect()}
     assert r[wk[1]]["admits_per100k"] == 5.0
+
+
+def test_state_median_without_look_ahead(spark):
+    import numpy as np
+    import pytest
+    from pyspark.sql import functions as F
+    rng = np.random.default_rng(2)
+    start, rows = dt.date(2024, 1, 6), []
+    for state, n in (("a", 40), ("b", 1), ("c", 5)):
+        rows += [(state, start + dt.timedelta(7 * i), None if state == "c" or rng.random() < 0.2 else float(rng.integers(0, 30)))
+                 for i in range(n)]
+    rows[3] = (*rows[3][:2], float("nan"))
+    df = spark.createDataFrame(rows, "state_territory string, week_end date, admits double")
+    cfg = PanelConfig(median_as_of="current")
+    got = {(r[0], r[1]): r.med for r in P.state_median(df, "med", cfg).collect()}
+    for state, week, _ in rows:
+        seen = [v for s, w, v in rows if s == state and w <= week and v is not None and v == v]
+        assert got[state, week] == (np.median(seen) if seen else None)
+    # later weeks change nothing
+    cut = P.state_median(df.where(F.col("week_end") < "2024-05-01"), "med", cfg).collect()
+    assert all(got[r[0], r[1]] == r.med for r in cut)
+    with pytest.raises(ValueError):
+        P.state_median(df, "med", PanelConfig(median_as_of="train"))
