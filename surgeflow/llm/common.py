@@ -1,6 +1,7 @@
 """Shared helpers: written stage tables, word hashing and tokenizer ids in Arrow tasks."""
 from __future__ import annotations
 
+import html
 import json
 import os
 import re
@@ -23,6 +24,8 @@ WORD_BYTES = bytes(
     for b in range(256))
 #: Entries after which a worker's word cache starts afresh.
 CACHE_WORDS = 150_000
+#: Decimal character references with more digits than Python turns into a number.
+LONG_REFERENCE = re.compile(r"&#([0-9]{1000,});?")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -50,6 +53,15 @@ def with_rows(docs: DataFrame, name: str, keep: Iterable[str] = ("doc_id", "text
     return stage(docs.select(*keep).withColumn("row", F.monotonically_increasing_id()), name)
 
 
+def unescape(text: str) -> str:
+    """``html.unescape`` for references of any length (too great a number is U+FFFD)."""
+    def shorter(found: re.Match) -> str:
+        digits = found[1].lstrip("0") or "0"
+        return f"&#{digits};" if len(digits) < 8 else "\ufffd"
+
+    return html.unescape(LONG_REFERENCE.sub(shorter, text) if "&#" in text else text)
+
+
 def as_bytes(column: pa.Array) -> list[bytes]:
     """UTF-8 bytes of a string column; null counts as empty."""
     return [b or b"" for b in column.cast(pa.large_binary()).to_pylist()]

@@ -6,11 +6,12 @@ its start costs nothing: time is linear in the page whatever the markup.
 """
 from __future__ import annotations
 
-import html
 import re
 from collections import Counter
 from dataclasses import dataclass, field
 
+from .common import unescape
+
 #: Fixed names.  Elements whose content is never text, and those read up to their own end tag.
 RAW = frozenset("script style noscript template iframe noembed noframes xmp textarea title".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -135,7 +136,7 @@ def parse(markup: str) -> Page:
         nonlocal link_chars
         # a heading in the header of an article is the article's own
         if part and (not clutter or (heading and opened["header"] == clutter and (opened["article"] or opened["main"]))):
-            part = html.unescape(part) if "&" in part else part
+            part = unescape(part) if "&" in part else part
             buffer.append(part)
             if links:
                 link_chars += len(part.strip())
@@ -189,7 +190,7 @@ def parse(markup: str) -> Page:
         elif tag in RAW:
             shut = _SHUT[tag].search(markup, at)
             if tag == "title" and not page.title:
-                page.title = " ".join(html.unescape(markup[at:shut.start() if shut else end]).split())
+                page.title = " ".join(unescape(markup[at:shut.start() if shut else end]).split())
             stop = markup.find(">", shut.end()) if shut else -1
             at = end if stop < 0 else stop + 1
         elif tag in VOID:

@@ -55,7 +55,8 @@ FROM m GROUP BY doc_id"""
 
 @register
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_counts.context_table(token_counts.length_histogram(read_table(spark, sf_dir, "documents")))
+    histogram = token_counts.length_histogram(read_table(spark, sf_dir, "documents"))
+    return token_counts.context_report(histogram, [2**k for k in range(7, 21)], [0.05, 0.25, 0.5, 0.75, 0.95, 0.99])
 
 
 @register
@@ -109,7 +110,7 @@ def op1_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = warc.derivatives(warc.responses_from_pages(read_table(spark, sf_dir, "pages")), ("page_id",))
     return made.select("page_id", "record_type", "record_id", "refers_to", "block_digest", "source_block_digest",
                        "source_payload_digest", "n_bytes", F.sha2(warc.record_text(F.col("header"), F.col("block")), 256)
-                       .alias("record_sha256"))
+                       .alias("record_sha256"), "header", "block")
 
 
 @register

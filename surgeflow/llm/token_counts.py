@@ -42,12 +42,20 @@ def length_histogram(docs: DataFrame, vocabulary: str | None = None, extra: int
     return stage(counted.groupBy("n_tokens").agg(F.sum("n_docs").alias("n_docs")), "length-histogram")
 
 
-def context_table(histogram: DataFrame) -> DataFrame:
-    """For every context limit that is a length: suffix counts and totals.
-
-    n_docs_over / tokens_over: documents longer than the limit and their tokens;
-    tokens_truncated: sum of min(length, limit); docs_within: share of documents that fit.
+def context_table(histogram: DataFrame, limits: DataFrame | None = None) -> DataFrame:
+    """For every context limit that is a length, and every one of ``limits`` (column
+    ``context_limit``; null ones are left out): suffix counts and totals.
+
+    n_docs: documents of just that length; n_docs_over / tokens_over: documents longer than the
+    limit and their tokens; tokens_truncated: sum of min(length, limit); docs_within: share of
+    documents that fit (null if there are none).  A limit between two lengths is a length of no
+    document, so the same sums answer it.
     """
+    if limits is not None:
+        asked = limits.where(F.col("context_limit").isNotNull()).select(
+            F.col("context_limit").cast("long").alias("n_tokens"), F.lit(0).cast("long").alias("n_docs"))
+        histogram = histogram.select("n_tokens", "n_docs").union(asked).groupBy("n_tokens").agg(
+            F.sum("n_docs").alias("n_docs"))
     h = histogram.withColumn("block", F.floor(F.col("n_tokens") / BLOCK))
     tokens = F.col("n_tokens") * F.col("n_docs")
     after = Window.orderBy(F.desc("block")).rowsBetween(Window.unboundedPreceding, -1)
@@ -65,28 +73,28 @@ def context_table(histogram: DataFrame) -> DataFrame:
             .select(F.col("n_tokens").alias("context_limit"), "n_docs", over.alias("n_docs_over"),
                     over_tokens.alias("tokens_over"),
                     (F.col("tokens") - over_tokens + over * F.col("n_tokens")).alias("tokens_truncated"),
+                    F.try_divide(F.col("docs") - over, F.col("docs")).alias("docs_within"),
                     F.col("docs").alias("total_docs"), F.col("tokens").alias("total_tokens")))
 
 
 def quantiles(table: DataFrame, probabilities: list[float]) -> DataFrame:
     """Smallest length that at least a share p of the documents do not exceed."""
-    within = (F.col("total_docs") - F.col("n_docs_over")) / F.col("total_docs")
-    return table.agg(*[F.min(F.when(within >= p, F.col("context_limit"))).alias(f"p{p:g}") for p in probabilities])
+    within = F.col("total_docs") - F.col("n_docs_over")
+    return table.agg(*[F.min(F.when((F.col("n_docs") > 0) & (within >= p * F.col("total_docs")), F.col("context_limit")))
+                       .alias(f"p{p:g}") for p in probabilities])
 
 
 def totals_at(table: DataFrame, limits: DataFrame) -> DataFrame:
-    """Truncated totals for any limits (column ``context_limit``), between lengths included.
-
-    The next longer length's suffix sums hold for a limit between two lengths.
-    """
-    t = table.select(F.col("context_limit").alias("length"), "n_docs", "n_docs_over", "tokens_over",
-                     "total_docs", "total_tokens")
-    fit = F.col("length") >= F.col("context_limit")
-    got = limits.select("context_limit").distinct().join(t, fit, "left").groupBy("context_limit").agg(
-        F.min_by(F.struct((F.col("n_docs") + F.col("n_docs_over")).alias("d"),
-                          (F.col("tokens_over") + F.col("length") * F.col("n_docs")).alias("t")),
-                 F.col("length")).alias("s"))
-    whole = table.agg(F.max("total_tokens").alias("all_tokens"))
-    above, above_tokens = F.coalesce(F.col("s.d"), F.lit(0)), F.coalesce(F.col("s.t"), F.lit(0))
-    return got.join(F.broadcast(whole)).select(
-        "context_limit", (F.col("all_tokens") - above_tokens + above * F.col("context_limit")).alias("tokens_truncated"))
+    """Truncated totals for any limits (column ``context_limit``), between lengths included."""
+    histogram = table.select(F.col("context_limit").alias("n_tokens"), "n_docs")
+    return context_table(histogram, limits).join(limits.select("context_limit").distinct(), "context_limit", "left_semi") \
+        .select("context_limit", "tokens_truncated")
+
+
+def context_report(histogram: DataFrame, limits: list[int], probabilities: list[float]) -> DataFrame:
+    """``context_table`` of all lengths and ``limits``, with the quantiles of the lengths beside
+    every row (``length_p50`` for 0.5)."""
+    asked = histogram.sparkSession.createDataFrame([(n,) for n in limits], "context_limit long")
+    table = context_table(histogram, asked)
+    found = quantiles(table, probabilities).toDF(*[f"length_p{100 * p:g}" for p in probabilities])
+    return table.crossJoin(F.broadcast(found))  # one row

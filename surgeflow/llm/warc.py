@@ -9,13 +9,13 @@ so a recomputed task writes the same records.  One pass, no shuffle.
 Edge cases: a null payload counts as empty and gives an empty conversion; null uri, date or
 headers are left out of the records; a response without record id gets one derived from its
 uri and payload; repeated responses give repeated records; an empty table gives none; other
-columns are not read.
+columns are not read.  A page's text takes time linear in its length, unclosed markup included
+(see ``plain_text``).
 """
 from __future__ import annotations
 
 import base64
 import hashlib
-import html
 import re
 import uuid
 
@@ -23,25 +23,85 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, map_batches
+from .common import as_bytes, map_batches, unescape
 
-#: Markup that is left out with its content, and tags that end a line.
-HIDDEN = re.compile(r"<!--.*?-->|<(script|style|noscript|template|head)\b.*?</\1\s*>", re.S | re.I)
-BREAKS = re.compile(r"<(?:br|hr|/?(?:p|div|li|ul|ol|tr|table|h[1-6]|section|article|header|footer|nav|body|"
-                    r"blockquote|pre|td|th|dd|dt|dl|form|main|aside|title))\b[^>]*>", re.I)
-TAGS = re.compile(r"<[/!?a-zA-Z][^>]*>")
+#: Elements left out with their content up to their own end tag, and tags that end a line.
+HIDDEN = {tag: re.compile(rf"</{tag}\s*>", re.I) for tag in ("script", "style", "noscript", "template")}
+BREAKS = frozenset("br hr p div li ul ol tr table h1 h2 h3 h4 h5 h6 section article header footer nav body blockquote "
+                   "pre td th dd dt dl form main aside title".split())
+#: A head without end tag ends at the body.
+HEAD_END = re.compile(r"</head\s*>|(?=<body[\s/>])", re.I)
+NAME = re.compile(r"/?([a-zA-Z]\w*)")
 BLANKS, LINES = re.compile(r"[^\S\n]+"), re.compile(r" ?\n[\n ]*")
-TITLE = re.compile(r"<title\b[^>]*>(.*?)</title\s*>", re.S | re.I)
-LANGUAGE = re.compile(r"<html\b[^>]*\blang\s*=\s*[\"']?([\w-]+)", re.I)
+TITLE, TITLE_END = re.compile(r"<title\b", re.I), re.compile(r"</title\s*>", re.I)
+HTML_TAG, LANGUAGE = re.compile(r"<html\b", re.I), re.compile(r"\blang\s*=\s*[\"']?([\w-]+)", re.I)
 NAMESPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")  # fixed value: the URL namespace of RFC 4122
 RESPONSE = ["record_id", "target_uri", "date", "http_headers", "payload"]
 
 
 def plain_text(markup: str) -> str:
-    """Visible text: hidden elements dropped, block tags as line ends, entities decoded."""
-    text = BREAKS.sub("\n", HIDDEN.sub(" ", markup))
-    text = html.unescape(TAGS.sub("", text))
-    return LINES.sub("\n", BLANKS.sub(" ", text)).strip()
+    """Visible text: hidden elements dropped, block tags as line ends, references decoded.
+
+    One scan forward, linear in the page whatever the markup.  A comment, a hidden element or a tag
+    that never ends hides the rest of the page; a head that never ends is ended by the body, and
+    without one only its tag goes."""
+    out: list[str] = []
+    at, end, head_ends = 0, len(markup), True
+    while at < end:
+        lt = markup.find("<", at)
+        if lt < 0 or lt + 1 == end:
+            out.append(markup[at:])
+            break
+        out.append(markup[at:lt])
+        if markup.startswith("<!--", lt):
+            stop = markup.find("-->", lt + 4)
+            out.append(" ")
+            at = stop + 3 if stop >= 0 else end
+            continue
+        name = NAME.match(markup, lt + 1)
+        if not name and markup[lt + 1] not in "/!?":
+            out.append("<")
+            at = lt + 1
+            continue
+        tag = name[1].lower() if name else ""
+        shut = None
+        if tag in HIDDEN and markup[lt + 1] != "/":
+            out.append(" ")
+            shut = HIDDEN[tag].search(markup, name.end())
+            at = shut.end() if shut else end
+            continue
+        if tag == "head" and markup[lt + 1] != "/" and head_ends:
+            shut = HEAD_END.search(markup, name.end())
+            head_ends = shut is not None  # no later head can find an end either
+            if shut:
+                out.append(" ")
+                at = shut.end()
+                continue
+        stop = markup.find(">", lt)
+        if stop < 0:
+            break
+        if tag in BREAKS:
+            out.append("\n")
+        at = stop + 1
+    return LINES.sub("\n", BLANKS.sub(" ", unescape("".join(out)))).strip()
+
+
+def page_title(markup: str) -> str | None:
+    """Content of the first title; none if it never ends."""
+    tag = TITLE.search(markup)
+    start = markup.find(">", tag.end()) + 1 if tag else 0
+    shut = TITLE_END.search(markup, start) if start else None
+    return unescape(markup[start:shut.start()]) if shut else None
+
+
+def page_language(markup: str) -> str | None:
+    """The last language named in the first html tag."""
+    tag = HTML_TAG.search(markup)
+    if not tag:
+        return None
+    stop = markup.find(">", tag.end())
+    named = LANGUAGE.findall(markup, tag.end(), stop if stop >= 0 else len(markup))
+    return named[-1] if named else None
 
 
 def sha1(block: bytes) -> str:
@@ -100,14 +160,13 @@ def _records(payload: bytes, source: str | None, uri: str | None, date: str | No
     payload_digest, block_digest = sha1(payload), sha1((headers or "").encode() + payload)
     source = source or urn("response", uri or "", block_digest)
     markup = payload.decode("utf-8", "replace")
-    title, language = TITLE.search(markup), LANGUAGE.search(markup)
+    title, language = page_title(markup), page_language(markup)
     text = plain_text(markup)
     conversion_id = urn(source, "conversion")
     description = fields([("source-headers", line) for line in (headers or "").split("\r\n") if line] +
                          [("source-block-digest", block_digest), ("source-payload-digest", payload_digest),
                           ("source-payload-length", str(len(payload))), ("conversion-record", conversion_id),
-                          ("title", html.unescape(title.group(1)) if title else None),
-                          ("language", language.group(1) if language else None), ("text-length", str(len(text)))])
+                          ("title", title), ("language", language), ("text-length", str(len(text)))])
     linked = [("WARC-Target-URI", uri), ("WARC-Date", date), ("WARC-Refers-To", source),
               ("WARC-Refers-To-Target-URI", uri), ("WARC-Refers-To-Date", date), ("WARC-Payload-Digest", None)]
     for kind, record, mime, block in (("metadata", urn(source, "metadata"), "application/warc-fields", description),

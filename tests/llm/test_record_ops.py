@@ -1,16 +1,20 @@
 import base64
 import gzip
 import hashlib
+import html
 import re
+import time
+import uuid
 from collections import defaultdict
 
 import numpy as np
 import pandas as pd
+import pytest
 from llm_cases import SF001, clashing, same, table  # noqa: F401
 from pyspark.sql import functions as F
 
-from surgeflow.llm import chat, toxicity, warc
-from surgeflow.llm.common import read_table
+from surgeflow.llm import chat, html_blocks, queries, toxicity, warc
+from surgeflow.llm.common import read_table, unescape
 
 # -------------------------------------------------------------------------------- WARC
 
@@ -26,6 +30,103 @@ def test_plain_text():
     assert warc.plain_text(PAGES[4][2]) == "plain < text & more © \n spaced".replace(" \n ", "\n")
 
 
+#: Tokens of a page by one pattern per place, the slow and plain reading of ``plain_text``.
+HIDES = r"(?i)<(script|style|noscript|template)\b.*?(?:</\1\s*>|\Z)"
+TOKENS = [(re.compile(p, re.S), out) for p, out in (
+    (r"<!--.*?(?:-->|\Z)", " "), (HIDES, " "), (r"(?i)<head\b.*?(?:</head\s*>|(?=<body[\s/>]))", " "),
+    (r"(?i)</?(?:br|hr|p|div|li|ul|ol|tr|table|h[1-6]|section|article|header|footer|nav|body|blockquote|pre|td|th|dd|dt|dl|"
+     r"form|main|aside|title)\b[^>]*>", "\n"), (r"<[/!?a-zA-Z][^>]*>", ""), (r"<[/!?a-zA-Z][^>]*\Z", ""))]
+
+
+def slow_text(markup):
+    at, out = 0, []
+    while at < len(markup):
+        for pattern, made in TOKENS:
+            found = pattern.match(markup, at)
+            if found:
+                out.append(made)
+                at = found.end()
+                break
+        else:
+            out.append(markup[at])
+            at += 1
+    return re.sub(r" ?\n[\n ]*", "\n", re.sub(r"[^\S\n]+", " ", html.unescape("".join(out)))).strip()
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_plain_text_of_random_markup(seed):
+    rng = np.random.default_rng(seed)
+    parts = ["<p>", "</p>", "<head>", "</head>", "<body class=x>", "<script>", "</script >", "<STYLE>", "</style>", "<!--", "-->",
+             "<b", ">", "<br/>", "<", "</", "<3", "&lt;", "&#65;", "word", " ", "\n", "<p_x>", "<title>", "</title>", "é", "<?x?>",
+             "<noscript>", "</noscript>", "</head", "<header>", "<template a='>'>"]
+    for _ in range(1500):
+        markup = "".join(rng.choice(parts, rng.integers(0, 25)))
+        assert warc.plain_text(markup) == slow_text(markup), markup
+
+
+@pytest.mark.parametrize("part", ["<head ", "<head>", "<title>", "<title ", "<html ", "<html lang ", "<!--", "<script>", "<a ", "<", "</", "&#"])
+def test_a_million_unclosed_tags(part):
+    started = time.process_time()
+    page = part * 10**6
+    warc.plain_text(page), warc.page_title(page), warc.page_language(page)
+    assert time.process_time() - started < 20
+
+
+def test_references_of_any_length():
+    many = "0" * 5000
+    assert unescape(f"&#{many}65;&#{'9' * 5000};&#65;&#x{many}41&amp;&#{many}") == "A\ufffdAA&\ufffd"
+    assert warc.plain_text(f"<p>a&#{'9' * 10**6};") == "a\ufffd"
+    assert html_blocks.parse(f"<p>a&#{'9' * 5000};</p>").texts == ["a\ufffd"]
+
+
+def test_title_and_language():
+    assert warc.page_title("<TITLE x>a &amp; b</title ><title>c</title>") == "a & b"
+    assert warc.page_title("<title>never") is None and warc.page_title("<title") is None and warc.page_title("") is None
+    assert warc.page_language("<html xml:lang='en' lang=de-AT><html lang=fr>") == "de-AT"
+    assert warc.page_language("<html><p lang=en>") is None and warc.page_language("<p>") is None
+
+
+def test_op1_against_plain_records(spark):
+    """Every column of the query, recomputed page by page."""
+    space = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")
+
+    def sha(data):
+        return "sha1:" + base64.b32encode(hashlib.sha1(data).digest()).decode()
+
+    expected = {}
+    for page in read_table(spark, SF001, "pages").collect():
+        body = (page.html or "").encode()
+        label = " ".join(["page", str(page.page_id), *([page.url] if page.url is not None else [])])
+        source = f"<urn:uuid:{uuid.UUID(hashlib.md5(label.encode()).hexdigest())}>"
+        http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(body)}\r\n\r\n"
+        ids = {k: f"<urn:uuid:{uuid.uuid5(space, source + chr(0) + k)}>" for k in ("metadata", "conversion")}
+        title = re.search(r"(?is)<title\b[^>]*>(.*?)</title\s*>", page.html or "")
+        language = re.search(r"(?i)<html\b[^>]*\blang\s*=\s*[\"']?([\w-]+)", page.html or "")
+        text = slow_text(page.html or "")
+        about = [*[("source-headers", x) for x in http.split("\r\n") if x], ("source-block-digest", sha(http.encode() + body)),
+                 ("source-payload-digest", sha(body)), ("source-payload-length", str(len(body))),
+                 ("conversion-record", ids["conversion"])]
+        about += [("title", " ".join(html.unescape(title[1]).split()))] if title else []
+        about += [("language", language[1])] if language else []
+        about += [("text-length", str(len(text)))]
+        blocks = {"metadata": ("application/warc-fields", "".join(f"{k}: {v}\r\n" for k, v in about)),
+                  "conversion": ("text/plain; charset=utf-8", text)}
+        for kind, (mime, block) in blocks.items():
+            data = block.encode()
+            url = " ".join(page.url.split()) if page.url is not None else None
+            lines = [("WARC-Type", kind), ("WARC-Record-ID", ids[kind]), ("WARC-Target-URI", url),
+                     ("WARC-Date", "1970-01-01T00:00:00Z"), ("WARC-Refers-To", source), ("WARC-Refers-To-Target-URI", url),
+                     ("WARC-Refers-To-Date", "1970-01-01T00:00:00Z"), ("X-Source-Payload-Digest", sha(body)),
+                     ("Content-Type", mime), ("WARC-Block-Digest", sha(data)), ("Content-Length", str(len(data)))]
+            header = "WARC/1.1\r\n" + "".join(f"{k}: {v}\r\n" for k, v in lines if v is not None)
+            whole = hashlib.sha256((header + "\r\n").encode() + data).hexdigest()
+            expected[page.page_id, kind] = (ids[kind], source, sha(data), sha(http.encode() + body), sha(body), len(data), whole,
+                                            header, block)
+    rows = queries.op1_warc_derivatives(spark, SF001).collect()
+    got = {(r.page_id, r.record_type): tuple(r)[2:] for r in rows}
+    assert len(rows) == len(expected) and got == expected
+
+
 def test_derivatives_link_to_their_response(table):
     responses = warc.responses_from_pages(table(PAGES, PAGE))
     rows = warc.derivatives(responses.withColumn("header", F.lit("x")), ("page_id",)).collect()

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from llm_cases import BLANK, EDGE_DOCS, LONG, SF0001, same, table  # noqa: F401
 
-from surgeflow.llm import cuckoo, decontam, line_runs, ngram_join, packing, suffix_index, token_counts
+from surgeflow.llm import cuckoo, decontam, line_runs, ngram_join, packing, queries, suffix_index, token_counts
 from surgeflow.llm.common import TokenIds, default_vocabulary, read_table, token_ids, words_of
 
 DOCS = "doc_id long, text string"
@@ -158,6 +158,29 @@ def test_length_histogram_and_suffix_sums(table):
     assert {r.context_limit: r.tokens_truncated for r in token_counts.totals_at(limits, asked).collect()} == {
         3: sum(min(x, 3) for x in lengths), 10**7: sum(lengths)}
     assert token_counts.length_histogram(table([], DOCS)).count() == 0
+    report = token_counts.context_report(token_counts.length_histogram(table(EDGE_DOCS, DOCS)), [1, 3, 10**6], [0.5, 0.99])
+    rows = {r.context_limit: r for r in report.collect()}
+    assert set(rows) == {*lengths, 1, 3, 10**6}
+    for limit, r in rows.items():
+        assert r.n_docs == lengths.count(limit) and r.n_docs_over == sum(x > limit for x in lengths)
+        assert r.tokens_truncated == sum(min(x, limit) for x in lengths)
+        assert abs(r.docs_within - sum(x <= limit for x in lengths) / len(lengths)) < 1e-12
+        assert (r.length_p50, r.length_p99) == (sorted(lengths)[(len(lengths) - 1) // 2], max(lengths))
+    empty = token_counts.context_report(token_counts.length_histogram(table([], DOCS)), [4], [0.5]).collect()
+    assert [(r.context_limit, r.n_docs_over, r.docs_within, r.length_p50) for r in empty] == [(4, 0, None, None)]
+
+
+def test_op10_against_plain_token_counts(spark):
+    lengths = [len(plain_ids(r.text)) for r in read_table(spark, SF0001, "documents").collect()]
+    rows = queries.op10_token_counts(spark, SF0001).collect()
+    assert {r.context_limit for r in rows} == {*lengths, *(2**k for k in range(7, 21))}
+    ordered = sorted(lengths)
+    for r in rows:
+        assert r.n_docs_over == sum(x > r.context_limit for x in lengths) and r.n_docs == lengths.count(r.context_limit)
+        assert r.tokens_over == sum(x for x in lengths if x > r.context_limit)
+        assert r.tokens_truncated == sum(min(x, r.context_limit) for x in lengths)
+        for p in (5, 25, 50, 75, 95, 99):
+            assert r[f"length_p{p}"] == ordered[-(-p * len(lengths) // 100) - 1]
 
 
 # ----------------------------------------------------------------------------- packing
