@@ -43,7 +43,8 @@ def corr_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     total = centred.select(F.array(*parts).alias("v")).union(none).select(array_to_vector("v").alias("v")).agg(
         vector_to_array(Summarizer.sum(F.col("v"))).alias("sums"))
     names = df.sparkSession.createDataFrame(
-        [(6 * at, cols[i], cols[k]) for at, (i, k) in enumerate(pairs)], "at int, col_a string, col_b string")
+        [(6 * at, cols[a], cols[b]) for at, (i, k) in enumerate(pairs) for a, b in sorted({(i, k), (k, i)})],
+        "at int, col_a string, col_b string")
     n, sx, sy, sxx, syy, sxy = [F.nullif(part, F.lit(0.0)) if j == 0 else part
                                 for j, part in enumerate(F.get("sums", F.col("at") + j) for j in range(6))]
 
@@ -52,10 +53,7 @@ def corr_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         return F.when(left > 1e-13 * squares, left).otherwise(0.0)
 
     r = F.when(n > 1.5, S.safe_corr_parts(sxy - sx * sy / n, spread(sxx, sx), spread(syy, sy)))
-    j = F.broadcast(names).crossJoin(total).select("col_a", "col_b", r.alias("r"))  # one row of sums
-    mirror = j.where(F.col("col_a") != F.col("col_b")).select(
-        F.col("col_b").alias("col_a"), F.col("col_a").alias("col_b"), "r")
-    return j.unionByName(mirror)
+    return F.broadcast(names).crossJoin(total).select("col_a", "col_b", r.alias("r"))  # one row of sums
 
 
 def long_pairs(df: DataFrame, predictors: Sequence[str], target: str) -> DataFrame:
