@@ -4,13 +4,17 @@
    the whole set and the band hashes of its MinHash signature.  Documents with equal sets are
    one class of copies; only its representative goes on.
 2. Representatives are shuffled on band hashes.  Buckets become stars around their smallest
-   member; connected components of the stars are the units of verification, so a pair that
-   meets in many bands is compared once.
-3. The shingle sets of candidates are gathered per component.  A component larger than
-   ``BLOCK`` members or ``BLOCK_GRAMS`` shingles is cut into blocks by hash and every pair of blocks is one task, so no group is
-   ever in one task whole.  Inside a task all set intersections are one matrix product.
-   A task returns counts of links and a spanning forest, never the pairs.
-4. Components of the spanning edges are the near-duplicate classes.
+   member, and the stars connect into components.
+3. Pairs are verified in units.  A component is one unit where that costs less than its
+   buckets (a group of near copies, whose pairs meet in many bands), otherwise each of its
+   distinct buckets is one (a chain of texts, whose ends meet in none), and a pair counts in
+   the bucket of the first band in which it meets.  So every pair that meets is verified and
+   counted once, and the work of a component never exceeds that of its buckets.
+4. The shingle sets of candidates are gathered per unit.  A unit larger than ``BLOCK``
+   members or ``BLOCK_GRAMS`` shingles is cut into blocks by hash and every pair of blocks is
+   one task, so no group is ever in one task whole.  Inside a task all set intersections are
+   one matrix product.  A task returns counts of links and a spanning forest, never the pairs.
+5. Components of the spanning edges are the near-duplicate classes.
 
 Band and row counts come from ``target_recall`` at the threshold (``bands_for``).
 
@@ -36,6 +40,8 @@ from .common import as_bytes, gram_hashes, map_batches, mix, stage, with_rows, w
 WORDS, THRESHOLD, TARGET_RECALL = 5, 0.8, 0.9999
 #: Representatives and shingles per block of a large component.
 BLOCK, BLOCK_GRAMS = 1024, 1 << 21
+#: Cost of gathering a member's shingles in a unit, in comparisons of one pair.
+ROW_COST = 64
 
 
 def bands_for(threshold: float, target_recall: float, rows: int = 4) -> tuple[int, int]:
@@ -155,21 +161,67 @@ def _compare(a: pd.DataFrame, b: pd.DataFrame, threshold: float) -> tuple[np.nda
 
 
 LINKS = "a long, b long, links long"
+UNITS = "array<struct<component: long, band: int, hash: long, members: long, total: long>>"
+
+
+def units_of(reps: DataFrame, stars: DataFrame, row_cost: int = ROW_COST) -> DataFrame:
+    """(row, units): the units of verification that hold each candidate.
+
+    ``reps``: (row, n_grams, bands); ``stars``: the ``band_stars`` of their buckets.  A unit is
+    (component, band, hash, members, total shingles); band -1 is a whole component."""
+    members = components(edges_of(reps, stars))
+    per_row = members.join(reps.select(F.col("row").alias("node"), "n_grams"), "node")
+    sizes = per_row.groupBy("label").agg(F.count(F.lit(1)).alias("members"), F.sum("n_grams").alias("total"))
+    # equal buckets of several bands are one unit, that of the first band
+    sets = stars.groupBy("centre", "n", "total", "same", "same2").agg(F.min(F.struct("band", "hash")).alias("first"))
+    sets = sets.join(members.select(F.col("node").alias("centre"), "label"), "centre")
+    costs = sets.groupBy("label").agg(F.sum(F.col("n") * (F.col("n") + row_cost)).alias("cost"))
+    whole = stage(sizes.join(costs, "label").withColumn(
+        "whole", F.col("members") * (F.col("members") + row_cost) <= F.col("cost")), "components")
+    at_once = members.join(whole.where("whole"), "label").select(
+        F.col("node").alias("row"), F.col("label").alias("component"), F.lit(-1).alias("band"),
+        F.lit(0).cast("long").alias("hash"), "members", "total")
+    cut = whole.where("not whole").select("label")
+    inside = reps.join(members.join(cut, "label", "left_semi").select(F.col("node").alias("row")), "row", "left_semi")
+    by_bucket = inside.select("row", F.posexplode("bands").alias("band", "hash")).join(
+        sets.join(cut, "label", "left_semi").select(
+            F.col("label").alias("component"), "first.band", "first.hash", F.col("n").alias("members"), "total"),
+        ["band", "hash"]).select("row", "component", "band", "hash", "members", "total")
+    unit = F.struct("component", "band", "hash", "members", "total")
+    return at_once.unionByName(by_bucket).groupBy("row").agg(F.collect_list(unit).alias("units"))
+
+
+def band_stars(reps: DataFrame) -> DataFrame:
+    """Buckets of two members or more: (band, hash), the least row, members, shingles and a hash of the members."""
+    return (reps.select("row", "n_grams", F.posexplode("bands").alias("band", "hash")).groupBy("band", "hash")
+            .agg(F.min("row").alias("centre"), F.count(F.lit(1)).alias("n"), F.sum("n_grams").alias("total"),
+                 F.bit_xor(F.xxhash64("row")).alias("same"), F.bit_xor(F.xxhash64("row", F.lit(1))).alias("same2"))
+            .where("n > 1"))
+
+
+def edges_of(reps: DataFrame, stars: DataFrame) -> DataFrame:
+    """Edges (a, b) from the members of each bucket to its least one."""
+    buckets = reps.select("row", F.posexplode("bands").alias("band", "hash"))
+    return buckets.join(stars.select("band", "hash", "centre"), ["band", "hash"]).where("row <> centre").select(
+        F.col("row").alias("a"), F.col("centre").alias("b"))
 
 
 def verified_links(sets: DataFrame, threshold: float, block: int) -> DataFrame:
     """Spanning edges (a, b) and, with b null, counts of links of a node.
 
-    ``sets``: (component, members, total, row, grams) of candidates."""
+    ``sets``: (component, band, hash, members, total, row, bands, grams) of candidates; ``bands``
+    is needed only where the unit is a bucket."""
     blocks = F.ceil(F.greatest(F.col("members") / block, F.col("total") / BLOCK_GRAMS)).cast("int")
     mine = F.pmod(F.xxhash64("row"), blocks).cast("int")
-    placed = sets.select("component", "row", "grams", blocks.alias("blocks"), mine.alias("mine"))
+    unit = ("component", "band", "hash")
+    placed = sets.select(*unit, "row", "bands", "grams", blocks.alias("blocks"), mine.alias("mine"))
     pair = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     tasks = placed.withColumn("other", pair).select(
-        "component", F.least("mine", "other").alias("x"), F.greatest("mine", "other").alias("y"), "mine", "row", "grams")
+        *unit, F.least("mine", "other").alias("x"), F.greatest("mine", "other").alias("y"), "mine", "row", "bands",
+        "grams")
 
     def verify(key: tuple[Any, ...], part: pd.DataFrame) -> pd.DataFrame:
-        _, x, y = key
+        _, band, _, x, y = key
         a = part[part["mine"] == x]
         b = a if x == y else part[part["mine"] == y]
         if not len(a) or not len(b) or (x == y and len(a) < 2):
@@ -177,6 +229,10 @@ def verified_links(sets: DataFrame, threshold: float, block: int) -> DataFrame:
         near, left, right = _compare(a, b, threshold)
         if x == y:
             np.fill_diagonal(near, False)
+        if band > 0:  # pairs that meet in an earlier band count there
+            first, second = np.stack(a["bands"].to_numpy()), np.stack(b["bands"].to_numpy())
+            for k in range(band):
+                near &= first[:, k, None] != second[None, :, k]
         edges = _forest(near, left, right)
         counts = [(r, None, int(n)) for r, n in zip(left, near.sum(axis=1)) if n]
         if x != y:
@@ -184,11 +240,11 @@ def verified_links(sets: DataFrame, threshold: float, block: int) -> DataFrame:
         rows = [(i, j, 0) for i, j in edges] + counts
         return pd.DataFrame(rows, columns=["a", "b", "links"]).astype({"a": "Int64", "b": "Int64", "links": "int64"})
 
-    return tasks.groupBy("component", "x", "y").applyInPandas(verify, LINKS)
+    return tasks.groupBy(*unit, "x", "y").applyInPandas(verify, LINKS)
 
 
 def near_classes(docs: DataFrame, row: str | None = None, words: int = WORDS, threshold: float = THRESHOLD,
-                 target_recall: float = TARGET_RECALL, block: int = BLOCK) -> DataFrame:
+                 target_recall: float = TARGET_RECALL, block: int = BLOCK, row_cost: int = ROW_COST) -> DataFrame:
     """One row per document: ``row`` (from the unique column ``row`` names, or numbered here),
     ``doc_id``, ``class_row`` and ``class_id`` (row and id of
     the class's first document), ``class_size``, ``copies`` (documents with the same shingles,
@@ -199,24 +255,20 @@ def near_classes(docs: DataFrame, row: str | None = None, words: int = WORDS, th
     copies = signed.groupBy("set_a", "set_b").agg(F.min("row").alias("rep"), F.count(F.lit(1)).alias("copies"))
     copies = stage(copies, "copies")
     reps = signed.join(copies.select(F.col("rep").alias("row")), "row", "left_semi")
-    buckets = reps.select("row", F.posexplode("bands").alias("band", "hash"))
-    stars = buckets.groupBy("band", "hash").agg(F.min("row").alias("centre"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    edges = buckets.join(stars, ["band", "hash"]).where("row <> centre").select(
-        F.col("row").alias("a"), F.col("centre").alias("b"))
-    members = components(edges)
-    sizes = (members.join(reps.select(F.col("row").alias("node"), "n_grams"), "node").groupBy("label")
-             .agg(F.count(F.lit(1)).alias("members"), F.sum("n_grams").alias("total")))
-    wanted = stage(members.join(sizes, "label").select(
-        F.col("node").alias("row"), F.col("label").alias("component"), "members", "total"), "candidates")
+    stars = stage(band_stars(reps), "band-stars")
+    bands_of = F.when(F.exists("units", lambda u: u["band"] >= 0), F.col("bands")).alias("bands")
+    wanted = stage(units_of(reps, stars, row_cost).join(reps.select("row", "bands"), "row")
+                   .select("row", "units", bands_of), "candidates")
     texts = docs.select("row", "text").join(wanted.hint("shuffle_hash"), "row")
 
     def grams(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = [shingles(t, words).tobytes() for t in as_bytes(batch.column(4))]
-        return pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(found, pa.binary())],
-                                          ["component", "members", "total", "row", "grams"])
+        found = [shingles(t, words).tobytes() for t in as_bytes(batch.column(3))]
+        return pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(found, pa.binary())],
+                                          ["row", "units", "bands", "grams"])
 
-    sets = map_batches(texts.select("component", "members", "total", "row", "text"), grams,
-                       "component long, members long, total long, row long, grams binary")
+    sets = map_batches(texts.select("row", "units", "bands", "text"), grams,
+                       f"row long, units {UNITS}, bands array<long>, grams binary")
+    sets = sets.select("row", "bands", "grams", F.explode("units").alias("unit")).select("unit.*", "row", "bands", "grams")
     links = stage(verified_links(sets, threshold, block), "links")
     counts = links.where("b is null").groupBy(F.col("a").alias("rep")).agg(F.sum("links").alias("n_links"))
     classes = components(links.where("b is not null")).select(F.col("node").alias("rep"), F.col("label").alias("class_row"))

@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 from llm_cases import BLANK, EDGE_DOCS, LONG, SF0001, same, table  # noqa: F401
+from pyspark.sql import functions as F
 
 from surgeflow.llm import cuckoo, decontam, line_runs, ngram_join, packing, queries, suffix_index, token_counts
 from surgeflow.llm.common import TokenIds, default_vocabulary, read_table, token_ids, words_of
@@ -69,7 +70,7 @@ def brute_exact(rows):
 
 def test_exact_dedup_edges(table):
     rows = [(r.digest.hex(), r.doc_id, r.keep_id, r.group_size, r.kept)
-            for r in cuckoo.exact_groups(table(EDGE_DOCS, DOCS), buckets=4).collect()]
+            for r in cuckoo.exact_groups(table(EDGE_DOCS, DOCS), bucket_keys=3).collect()]
     expected = brute_exact(EDGE_DOCS)
     assert len(rows) == len(EDGE_DOCS)
     assert {d: (k, n) for d, _, k, n, _ in rows} == expected
@@ -89,10 +90,38 @@ def test_cuckoo_filter_insert_delete_overflow():
     assert not cuckoo.CuckooFilter(64).insert(keys)
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_cuckoo_filter_holds_all_it_accepts(seed):
+    rng = np.random.default_rng(seed)
+    f, held = cuckoo.CuckooFilter(4096), np.zeros(0, np.uint64)
+    while len(held) < 3700:  # 90 % full, in uneven steps
+        keys = rng.integers(0, 2**63, min(3700 - len(held), int(rng.integers(1, 900)))).astype(np.uint64)
+        assert f.insert(keys)
+        held = np.concatenate((held, keys))
+        assert f.contains(held).all() and np.count_nonzero(f.table) == len(held)
+
+
+def test_cuckoo_index_splits_its_buckets(spark):
+    def digests(numbers):
+        return spark.createDataFrame([(hashlib.sha256(str(i).encode()).digest(),) for i in numbers], "digest binary")
+    index = cuckoo.CuckooIndex(spark, bucket_keys=100)
+    sizes = []
+    for first in (0, 90, 500, 1200):
+        found = index.insert(digests(range(first, first + 600)))
+        assert found.where("held").count() == max(0, sizes[-1][1] - first if sizes else 0)
+        sizes.append((index.buckets, first + 600))
+    assert [b for b, _ in sizes] == sorted(b for b, _ in sizes) and index.buckets * 100 >= index.size == 1700  # 1100 to 1199 never came
+    index.delete(digests(range(100)))
+    assert index.size == 1600
+    again = index.lookup(digests(range(1900))).where("held")
+    assert again.count() == 1600 == index.live().count()
+    assert index.filters.groupBy("bucket").count().where("count > 1").isEmpty()
+
+
 def test_cuckoo_index_grows_and_forgets(spark):
     def digests(numbers):
         return spark.createDataFrame([(hashlib.sha256(str(i).encode()).digest(),) for i in numbers], "digest binary")
-    index = cuckoo.CuckooIndex(spark, buckets=2)
+    index = cuckoo.CuckooIndex(spark, bucket_keys=4000)
     assert index.insert(digests(range(6000))).where("held").count() == 0
     assert index.filters.where("overflow").count() == 0  # overflown filters were rebuilt
     assert index.insert(digests(range(5990, 6010))).where("held").count() == 10
@@ -366,6 +395,54 @@ def test_near_classes_against_brute_force(table, block):
     assert ngram_join.near_classes(table([], DOCS)).count() == 0
 
 
+def chain(n, step=5, size=100):
+    """Texts that each overlap their neighbours by 0.8 and more, and nothing further away."""
+    words = [f"c{k}" for k in range(n * step + size)]
+    return [(i, " ".join(words[i * step:i * step + size])) for i in range(n)]
+
+
+@pytest.mark.parametrize("row_cost", [0, 64])
+def test_a_long_chain_is_verified_by_buckets(table, row_cost):
+    docs = chain(150) + [(1000 + i, f"x{i % 2} " + " ".join(f"v{k}" for k in range(60))) for i in range(5)]
+    found = sorted(ngram_join.near_classes(table(docs, DOCS).repartition(1), row_cost=row_cost, block=16).collect(),
+                   key=lambda r: r.doc_id)
+    classes, links = brute_near(docs)
+    assert [r.n_links for r in found] == links
+    firsts = {}
+    for r, c in zip(found, classes):
+        assert firsts.setdefault(c, r.class_id) == r.class_id
+    assert len(firsts) == len(set(classes)) == 2
+
+
+def test_units_of_a_chain_are_buckets_and_of_copies_one(table):
+    bands, rows = ngram_join.bands_for(0.8, 0.9999)
+    group = [(5000 + i, " ".join(f"n{k}" if k != i else "odd" for k in range(200))) for i in range(30)]
+    docs = table(chain(150) + group, DOCS).withColumn("row", F.col("doc_id"))
+    reps = ngram_join.stage(ngram_join.signatures(docs, 5, bands, rows), "test-reps")
+    got = ngram_join.units_of(reps, ngram_join.band_stars(reps), 0).collect()
+    largest = max(u.members for r in got if r.row < 5000 for u in r.units)
+    assert largest < 30 and all(u.band >= 0 for r in got if r.row < 5000 for u in r.units)
+    assert all([(u.band, u.members) for u in r.units] == [(-1, 30)] for r in got if r.row >= 5000)
+
+
+def test_recall_on_planted_pairs():
+    """Pairs just above the threshold must meet in a band: at least 0.9 of them, as banding promises far more."""
+    rng = np.random.default_rng(7)
+    bands, rows = ngram_join.bands_for(0.8, 0.9999)
+    seen = met = 0
+    while seen < 400:
+        words = [f"w{k}" for k in rng.integers(0, 20_000, int(rng.integers(60, 400)))]
+        other = list(words)
+        for k in rng.integers(0, len(words), max(1, len(words) // 60)):
+            other[k] = "changed"
+        a, b = (ngram_join.shingles(" ".join(w).encode()) for w in (words, other))
+        common = len(np.intersect1d(a, b))
+        if 0.8 <= common / (len(a) + len(b) - common) < 0.85:
+            seen += 1
+            met += bool((ngram_join.band_hashes(a, bands, rows) == ngram_join.band_hashes(b, bands, rows)).any())
+    assert met >= 0.99 * seen, (met, seen)
+
+
 def test_band_count_reaches_the_recall():
     bands, rows = ngram_join.bands_for(0.8, 0.9999)
     assert 1 - (1 - 0.8 ** rows) ** bands >= 0.9999
