@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from surgeflow.operators import metrics as M
 from surgeflow.operators import models as ML
-from surgeflow.session import ensure_checkpoint_dir
+from surgeflow.session import ensure_checkpoint_dir, write_observed
 
 
 def _train(spark):
@@ -66,3 +66,13 @@ def test_concurrent_tasks_keep_order_group_and_errors(spark):
             ML.concurrently(spark, [lambda: 1 / 0, lambda: spark.range(3).count()])
     finally:
         sc.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_models_score_in_a_session_that_has_observed_a_table(spark):
+    _, seen = write_observed(spark.range(3), "rows", F.count(F.lit(1)).alias("n"))
+    assert seen["n"] == 3
+    train = _train(spark)
+    fm = ML.fit_all(train, ["a", "b"], rf_trees=3, gbt_iter=2)
+    scored = ML.score_batch(fm, train)
+    assert scored.where("lr_proba between 0 and 1 and rf_proba between 0 and 1").count() == train.count()
+    assert len(ML.long_predictions(scored).collect()) == 4 * train.count()
