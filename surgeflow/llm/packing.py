@@ -20,6 +20,7 @@ from __future__ import annotations
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
+from operator import itemgetter
 
 import numpy as np
 import pandas as pd
@@ -31,7 +32,7 @@ from pyspark.sql import types as T
 from .common import default_vocabulary, stage, token_ids
 
 CAPACITY, END_ID = 2048, 0
-SHARD, ISLANDS, EPOCHS, GENERATIONS, POPULATION = 6000, 2, 2, 3, 3
+SHARD, ISLANDS, EPOCHS, GENERATIONS, POPULATION = 6000, 2, 2, 12, 6
 #: Share of the capacity that an under-filled bin leaves empty.
 SLACK = 0.02
 
@@ -130,19 +131,20 @@ def evolve(sizes: list[int], population: list[Bins], capacity: int, rng, generat
         order = _falling(everything, sizes, rng, noise[len(population) % len(noise)])
         population.append(best_fit(order, sizes, [], capacity))
 
-    def rank(b: Bins):
-        return len(b), -fitness(b, sizes, capacity)
+    def ranked(b: Bins):
+        return (len(b), -fitness(b, sizes, capacity)), b
 
-    population = sorted(population, key=rank)[:keep]
+    # every individual is ranked once, when it is made
+    known = sorted(map(ranked, population), key=itemgetter(0))[:keep]
     least = -(-sum(sizes) // capacity)
     for _ in range(generations):
-        if len(population[0]) <= least:
+        if len(known[0][1]) <= least:   # no packing has fewer sequences
             break
-        a, b = rng.permutation(len(population))[:2] if len(population) > 1 else (0, 0)
-        child = crossover(population[a], population[b], sizes, capacity, rng)
+        a, b = rng.permutation(len(known))[:2] if len(known) > 1 else (0, 0)
+        child = crossover(known[a][1], known[b][1], sizes, capacity, rng)
         child = mutate(child, sizes, capacity, rng)
-        population = sorted([*population, child], key=rank)[:keep]
-    return population
+        known = sorted([*known, ranked(child)], key=itemgetter(0))[:keep]
+    return [b for _, b in known]
 
 
 # ------------------------------------------------------------------------- the islands

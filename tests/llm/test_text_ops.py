@@ -263,6 +263,19 @@ def test_crossover_keeps_every_piece_once():
     assert packing._decode(b"") == []
 
 
+def test_evolution_goes_on_where_the_bound_is_not_met(monkeypatch):
+    made = []
+    crossover = packing.crossover
+    monkeypatch.setattr(packing, "crossover", lambda *a: made.append(crossover(*a)) or made[-1])
+    sizes = [600 + k for k in range(30)]     # no two share a bin, so the bound of 19 is out of reach
+    best = packing.evolve(sizes, [], 1000, np.random.default_rng(0), packing.GENERATIONS, packing.POPULATION)
+    assert len(made) == packing.GENERATIONS >= 10 and len(best) == packing.POPULATION >= 6
+    assert [len(b) for b in best] == [30] * len(best)
+    made.clear()
+    packing.evolve([500] * 30, [], 1000, np.random.default_rng(0), packing.GENERATIONS, packing.POPULATION)
+    assert not made                          # 15 full bins cannot be bettered
+
+
 # --------------------------------------------------------------------- decontamination
 
 def brute_hits(docs, items, window=13):
