@@ -200,10 +200,15 @@ def band_stars(reps: DataFrame) -> DataFrame:
 
 
 def edges_of(reps: DataFrame, stars: DataFrame) -> DataFrame:
-    """Edges (a, b) from the members of each bucket to its least one."""
+    """Edges (a, b) that connect the members of each bucket with its least one.
+
+    A row has one edge, to the least of its centres (at most one a band); its other centres
+    have edges to that one.  So members that share their centres add one edge each."""
     buckets = reps.select("row", F.posexplode("bands").alias("band", "hash"))
-    return buckets.join(stars.select("band", "hash", "centre"), ["band", "hash"]).where("row <> centre").select(
-        F.col("row").alias("a"), F.col("centre").alias("b"))
+    centres = buckets.join(stars.select("band", "hash", "centre"), ["band", "hash"]).where("row <> centre").groupBy(
+        "row").agg(F.collect_set("centre").alias("centres"))
+    ends = centres.select(F.explode(F.array_append("centres", F.col("row"))).alias("a"), F.array_min("centres").alias("b"))
+    return ends.where("a <> b").distinct()
 
 
 def verified_links(sets: DataFrame, threshold: float, block: int) -> DataFrame:

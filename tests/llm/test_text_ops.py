@@ -427,6 +427,15 @@ def test_a_long_chain_is_verified_by_buckets(table, row_cost):
     assert len(firsts) == len(set(classes)) == 2
 
 
+def test_rows_that_share_centres_add_one_edge_each(table):
+    # row r is in the bucket of band k from row k on: the centres of the bands differ
+    reps = table([(r, 1, [k if r >= k else -100 * r - k for k in range(6)]) for r in range(40)],
+                 "row long, n_grams long, bands array<long>")
+    edges = ngram_join.edges_of(reps, ngram_join.band_stars(reps))
+    assert edges.count() == 39
+    assert {tuple(r) for r in ngram_join.components(edges).collect()} == {(r, 0) for r in range(40)}
+
+
 def test_units_of_a_chain_are_buckets_and_of_copies_one(table):
     bands, rows = ngram_join.bands_for(0.8, 0.9999)
     group = [(5000 + i, " ".join(f"n{k}" if k != i else "odd" for k in range(200))) for i in range(30)]
