@@ -1,8 +1,9 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from surgeflow.operators.quantiles import group_quantiles
+from surgeflow.operators.quantiles import group_quantiles, wide_value_counts
 from surgeflow.operators.stats import box_stats, corr_matrix
+from surgeflow.session import cut_lineage
 
 
 def test_group_quantiles_match_numpy(spark):
@@ -83,3 +84,21 @@ def test_corr_matrix_is_pairwise_complete_without_repeating_rows(spark):
             assert abs(got[a, b] - np.corrcoef(x[ok, i], x[ok, k])[0, 1]) < 1e-9
     assert all(got[p] is None for p in got if {"same", "none"} & set(p))
     assert {r.r for r in corr_matrix(df.limit(0), ["a", "b"]).collect()} == {None}
+
+
+def test_stored_table_is_read_twice_and_most_rows_are_not_shuffled(spark):
+    rng = np.random.default_rng(5)
+    groups = [(g, n) for g, n in (("a", 1), ("b", 2), ("hot", 20_000))] + [(f"s{i}", 300) for i in range(40)]
+    rows = [(g, float(x)) for g, n in groups for x in rng.lognormal(2, 1, n) * rng.choice([-1, 1], n)]
+    rows += [("hot", None), ("a", float("nan")), ("none", None), (None, 2.0), (None, 4.0), ("zero", 0.0), ("zero", -0.0)]
+    df = cut_lineage(spark.createDataFrame(rows, "g string, v double").repartition(3))
+    probs, names = [0.0, 0.1, 0.5, 1.0], ["lo", "q1", "med", "hi"]
+    made = group_quantiles(df, ["g"], "v", probs, names, stored=True)
+    got, plain = ({r.g: tuple(r)[1:] for r in x.collect()} for x in (made, group_quantiles(df, ["g"], "v", probs, names)))
+    assert got == plain and "none" not in got and np.allclose(got[None], (2.0, 2.2, 3.0, 4.0))
+    for g, _ in groups:
+        assert np.allclose(got[g], np.percentile([x for k, x in rows if k == g and x is not None and x == x],
+                                                 [0, 10, 50, 100]), rtol=1e-12), g
+    counted = wide_value_counts(df, ["g"], "v", [0.5])
+    assert counted.count() < len(rows) / 10
+    assert "BroadcastHashJoin" in counted._jdf.queryExecution().executedPlan().toString()
