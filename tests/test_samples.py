@@ -52,3 +52,31 @@ def test_keep_first_nondetect_and_null_site(spark):
     assert len(w) == 1 and w[0]["state_territory"] == "ak"
     assert w[0]["week_end"] == dt.date(2024, 1, 6)
     assert w[0]["n_samples"] == 4 and w[0]["n_sites"] == 2   # r1, r3, r4, r7
+
+
+def test_duplicates_are_sorted_in_tasks_that_follow_the_table(spark, tmp_path, monkeypatch):
+    rows = [(k // 3, k % 40, k // 40 % 30, k % 5, float(k % 9), 100.0 + k % 7, 0.01, 0.03, "A", "O",
+             dt.datetime(1998, 1, 1 + k % 3)) for k in range(1200)]
+    spark.createDataFrame(rows, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, "
+                                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+                                "l_linestatus string, l_shipdate timestamp").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(k, k % 4, 10.0 * k) for k in range(30)], "s_suppkey long, s_nationkey long, s_acctbal double") \
+        .write.parquet(f"{tmp_path}/supplier.parquet")
+    spark.createDataFrame([(k, f"N{k}") for k in range(4)], "n_nationkey long, n_name string") \
+        .write.parquet(f"{tmp_path}/nation.parquet")
+
+    def first_rows():
+        kept = fx.samples_raw(spark, str(tmp_path))
+        tasks = kept.select("site").rdd.getNumPartitions()
+        deduped = CS.dedupe_first(CS.prepare(kept, DRIVER_SAMPLES)).drop("__ord")
+        return tasks, sorted(map(str, deduped.collect()))
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        few, expected = first_rows()
+        monkeypatch.setattr(fx, "ROWS_PER_TASK", 50)
+        many, got = first_rows()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert few <= 8 and many == 24
+    assert got == expected and 0 < len(got) < 1200
