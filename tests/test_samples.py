@@ -80,3 +80,26 @@ def test_duplicates_are_sorted_in_tasks_that_follow_the_table(spark, tmp_path, m
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert few <= 8 and many == 24
     assert got == expected and 0 < len(got) < 1200
+
+
+def test_counts_of_the_samples_do_not_deal_the_table(spark, tmp_path, monkeypatch):
+    from surgeflow.plans.stages import samples
+
+    rows = [(k // 3, k % 40, k // 40 % 30, k % 5, float(k % 9), 100.0 + k % 7, 0.01, 0.03, "A", "O",
+             dt.datetime(1998, 1, 1 + k % 3)) for k in range(1200)]
+    spark.createDataFrame(rows, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, "
+                                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+                                "l_linestatus string, l_shipdate timestamp").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(k, k % 4, 10.0 * k) for k in range(30)], "s_suppkey long, s_nationkey long, s_acctbal double") \
+        .write.parquet(f"{tmp_path}/supplier.parquet")
+    spark.createDataFrame([(k, f"N{k}") for k in range(4)], "n_nationkey long, n_name string") \
+        .write.parquet(f"{tmp_path}/nation.parquet")
+    monkeypatch.setattr(fx, "ROWS_PER_TASK", 50)
+    st = samples(spark, str(tmp_path))
+    for counted in (st.prepared, st.filtered, st.med_lod):
+        assert "RepartitionByExpression" not in counted._jdf.queryExecution().analyzed().toString()
+    log = {r["step"]: r["rows_remaining"] for r in CS.sample_step_log(st).collect()}
+    alone = CS.clean_samples(fx.samples_raw(spark, str(tmp_path)), DRIVER_SAMPLES)
+    assert log == {r["step"]: r["rows_remaining"] for r in CS.sample_step_log(alone).collect()}
+    assert sorted(map(str, st.deduped.collect())) == sorted(map(str, alone.deduped.collect()))
+    assert CS.sample_side_counts(st).collect() == CS.sample_side_counts(alone).collect()
