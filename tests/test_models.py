@@ -76,3 +76,12 @@ def test_models_score_in_a_session_that_has_observed_a_table(spark):
     scored = ML.score_batch(fm, train)
     assert scored.where("lr_proba between 0 and 1 and rf_proba between 0 and 1").count() == train.count()
     assert len(ML.long_predictions(scored).collect()) == 4 * train.count()
+
+
+def test_a_fitted_forest_is_not_stored(spark, monkeypatch):
+    stored, load = [], ML.PipelineModel.load
+    monkeypatch.setattr(ML.PipelineModel, "load", lambda path: stored.append(load(path)) or stored[-1])
+    fm = ML.fit_all(_train(spark), ["a", "b"], rf_trees=3, gbt_iter=2)
+    assert [type(m.stages[-1]).__name__ for m in stored] == ["LogisticRegressionModel"]
+    assert not fm.rf.stages[-1].hasSummary and not fm.lr.stages[-1].hasSummary
+    assert fm.rf.stages[-1].getNumTrees == 3
