@@ -78,6 +78,18 @@ def test_models_score_in_a_session_that_has_observed_a_table(spark):
     assert len(ML.long_predictions(scored).collect()) == 4 * train.count()
 
 
+def _tasks_by_job(spark, group, run):
+    sc = spark.sparkContext
+    sc.setJobGroup(group, group)
+    try:
+        run()
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    stages = [sc.statusTracker().getStageInfo(s) for j in sc.statusTracker().getJobIdsForGroup(group)
+              for s in sc.statusTracker().getJobInfo(j).stageIds]
+    return [s.numTasks for s in stages if s]
+
+
 def test_a_fitted_forest_is_not_stored(spark, monkeypatch):
     stored, load = [], ML.PipelineModel.load
     monkeypatch.setattr(ML.PipelineModel, "load", lambda path: stored.append(load(path)) or stored[-1])
@@ -85,3 +97,19 @@ def test_a_fitted_forest_is_not_stored(spark, monkeypatch):
     assert [type(m.stages[-1]).__name__ for m in stored] == ["LogisticRegressionModel"]
     assert not fm.rf.stages[-1].hasSummary and not fm.lr.stages[-1].hasSummary
     assert fm.rf.stages[-1].getNumTrees == 3
+
+
+def test_stored_forests_leave_the_driver_in_small_tasks(spark, monkeypatch):
+    name = "spark.sql.leafNodeDefaultParallelism"
+    fm = ML.fit_all(_train(spark), ["a", "b", "c"], rf_trees=60, gbt_iter=2)
+    forest = fm.rf.stages[-1]
+    monkeypatch.setattr(ML, "NODES_PER_TASK", 20)
+    wanted = -(-forest.totalNumNodes // 20)
+    assert wanted > spark.sparkContext.defaultParallelism
+    fm.lr = fm.gbt = None
+    root = os.path.join(ensure_checkpoint_dir(spark), "test-forest-store")
+    before = spark.conf.get(name, None)
+    assert wanted in _tasks_by_job(spark, "store-forest", lambda: ML.save_models(fm, root))
+    assert spark.conf.get(name, None) == before
+    again = ML.load_model(root, "rf").stages[-1]
+    assert again.totalNumNodes == forest.totalNumNodes and again.toDebugString == forest.toDebugString
